@@ -57,7 +57,11 @@ _NOTE = (
     rf"|(?i:\(\s*{_SOUNDS}\s*\))"
 )
 _HESITATION = r"(?i)(?:,\s*)?(?<![\p{L}\p{N}'’-])(?:uh-huh|mm-hmm|uh-uh|a+h+|e+r+m*|u+m+|u+h+|h+m+|m{2,})(?![\p{L}\p{N}'’-])(?:\.\.\.|…|,)?"
-_PHRASE = r"(?i)(?:,\s*)?(?<![\p{L}\p{N}'’-])(?<!\b(?:do|did|if|what|any|some|this|that|as) )(?:you know|sort of|basically|i mean)(?![\p{L}\p{N}'’-])(?:\.\.\.|…|,)?"
+_PHRASES = r"(?:you\s+know|sort\s+of|basically|i\s+mean)(?![\p{L}\p{N}'’-])"
+_PHRASE = (
+    rf"(?i),\s*{_PHRASES}(?:\s*(?:\.\.\.|…|,))?|(?<![\p{{L}}\p{{N}}'’-]){_PHRASES}\s*(?:\.\.\.|…|,)"
+    rf"|(?<![\p{{L}}\p{{N}}'’-])(?<!\b(?:do|did|if|as) {{1,3}}(?=you))(?<!\b(?:what|any|some|same|this|that) {{1,3}}(?=sort))(?<!\bwhat {{1,3}}(?=i\s)){_PHRASES}"
+)
 _NAME = r"(?:(?:Mr|Ms|Mrs|Dr|Prof)\.? )?\p{Lu}[\p{L}'’.-]*(?: \p{Lu}[\p{L}'’.-]*){0,3}"
 _SWITCH = rf"(^\s*|[.?!…\"”:;]\s+|\n\s*)({_NAME})(\s?(?::|\s[-–—])\s+)"
 _A, _B = "\x01", "\x02"
@@ -106,7 +110,7 @@ def segments(turns: DataFrame) -> DataFrame:
 def label_words(label: str) -> tuple[str, ...] | None:
     """The words of a label's name; None if it only marks a continuation."""
     s = unicodedata.normalize("NFKC", label).strip()
-    s = re.sub(r"[\[(<]?\b\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?[\])>]?", " ", s)
+    s = re.sub(r"[\[(<@]?\s*\b(?:\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?|(?:\d{1,2}h)?\d{1,3}m\d{1,2}s)\b\s*[\])>]?", " ", s)
     if re.fullmatch(r"[\W\d_]*", s):
         return None
     plain = " ".join(re.findall(r"[^\W\d_]+", s.casefold()))
