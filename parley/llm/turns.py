@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 BLOCK_CHARS = 1 << 20
 
 # The vocabulary of transcripts.
@@ -101,7 +103,8 @@ def segments(turns: DataFrame) -> DataFrame:
     rows = rows.withColumn("inline", F.when(F.instr("piece", _B) > 0, F.substring_index("piece", _B, 1)))
     rows = rows.withColumn("speech", F.when(F.col("inline").isNull(), F.col("piece")).otherwise(F.substring_index("piece", _B, -1)))
     rows = rows.withColumn("plain", F.replace("piece", F.lit(_B), F.lit("")))
-    return rows.where(F.col("piece").rlike(r"[\p{L}\p{N}]")).drop("piece")
+    rows = rows.where(F.col("piece").rlike(r"[\p{L}\p{N}]")).drop("piece")
+    return rows.withColumn("speaks", F.col("speech").rlike(r"[\p{L}\p{N}]"))
 
 
 # --- labels ---------------------------------------------------------------------------------------
@@ -146,8 +149,8 @@ def edits(a: str, b: str, most: int) -> int:
     return old[-1]
 
 
-def likeness(label: tuple[str, ...], name: tuple[str, ...]) -> int:
-    """How surely a label names a speaker: 5 same words, 4 other order, 3 initials, 2 a single name, 1 similar spelling, 0 not."""
+def fits_name(label: tuple[str, ...], name: tuple[str, ...]) -> int:
+    """How surely a label names a speaker: 5 same words, 4 other order, 3 initials, 2 a single name, 0 not."""
     if label == name:
         return 5
     if sorted(label) == sorted(name):
@@ -159,6 +162,12 @@ def likeness(label: tuple[str, ...], name: tuple[str, ...]) -> int:
                 return 3
     if len(label) == 1 and len(label[0]) > 1 and label[0] in (last, first):
         return 2
+    return 0
+
+
+def fits_spelling(label: tuple[str, ...], name: tuple[str, ...]) -> int:
+    """1 if a label is a misspelling of a name, of its initial form or of its last name, else 0."""
+    first, last = name[0], name[-1]
     whole, full = " ".join(label), " ".join(name)
     if len(label) == len(name) and len(full) >= 6 and edits(whole, full, 2) <= 2:
         return 1
@@ -209,8 +218,11 @@ def resolve(labels: list[str], people: list[tuple[int, str, str]]) -> list[tuple
             if len(moderators) == 1:
                 sets.join(next(i for i, p in enumerate(people) if p[0] == moderators[0]), at[w])
             continue
-        scores = [likeness(w, n) if n else 0 for n in names]
+        scores = [fits_name(w, n) if n else 0 for n in names]
         best = max(scores, default=0)
+        if not best:
+            scores = [fits_spelling(w, n) if n else 0 for n in names]
+            best = max(scores, default=0)
         fits = [i for i, s in enumerate(scores) if s == best and best]
         if len(fits) == 1:
             sets.join(fits[0], at[w])
@@ -221,7 +233,7 @@ def resolve(labels: list[str], people: list[tuple[int, str, str]]) -> list[tuple
             stray.append(w)
     for i, a in enumerate(stray):
         for b in stray[:i]:
-            if max(likeness(a, b), likeness(b, a)):
+            if fits_name(a, b) or fits_name(b, a) or fits_spelling(a, b):
                 sets.join(at[a], at[b])
     out = []
     for w in words:
@@ -271,7 +283,7 @@ def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int) -> Data
     parts = segments(base)
     labels = base.select("call_id", F.explode(F.array("speaker")).alias("label")).where("label is not null").distinct()
     labels = labels.unionByName(parts.select("call_id", F.col("inline").alias("label")).where("label is not null")).distinct()
-    known = label_table(labels, participants)
+    known = cut(label_table(labels, participants))  # read by both joins below
 
     own = known.select(F.col("l_call").alias("c1"), F.col("label").alias("l1"), F.struct("kind", "canonical", "fits").alias("own"))
     within = known.select(F.col("l_call").alias("c2"), F.col("label").alias("l2"), F.struct("kind", "canonical", "fits").alias("within")).where("within.kind = 'known'")
@@ -279,8 +291,8 @@ def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int) -> Data
     # few rows name a speaker inside the text; the others skip this join
     rows = rows.join(within, F.col("call_id").eqNullSafe(F.col("c2")) & (F.col("inline") == F.col("l2")), "left").drop("c2", "l2")
     # a name inside the text that is no participant is part of the text
-    rows = rows.withColumn("speech", F.when(F.col("inline").isNotNull() & F.col("within").isNull(), F.col("plain")).otherwise(F.col("speech")))
-    rows = rows.where(F.col("speech").rlike(r"[\p{L}\p{N}]"))
+    named = F.col("inline").isNull() | F.col("within").isNotNull()
+    rows = rows.withColumn("speech", F.when(named, F.col("speech")).otherwise(F.col("plain"))).where(F.col("speaks") | ~named)
 
     role = role_class(F.col("role"))
     same_role = F.filter(F.col("own.fits"), lambda f: f["role"] == role)
