@@ -2,10 +2,11 @@
 
 Method: exact-complement hashing. What matters of an item is its length, so the
 plan is made on the histogram of lengths, at most `capacity` entries whatever
-the number of items. For each length, from the longest, the gap it leaves is
-looked up among the lengths, the sums of pairs and the sums of triples; a
-combination that fills the gap exactly is consumed as often as the counts allow.
-What remains is packed best-fit, again in bulk by length.
+the number of items. For each length above half the capacity, from the longest,
+the gap it leaves is looked up among the lengths, then the sums of pairs, then
+the sums of triples; a combination that fills the gap exactly is consumed as often
+as the counts allow. Smaller items fill each other in the same way as far as they
+aren't needed beside large ones. What remains is packed best-fit, again in bulk.
 
 The plan says, for each length, which item numbers go to which containers. Items
 are numbered within their length by two levels (a salted block and a prefix sum
@@ -52,34 +53,42 @@ def make_plan(counts: dict[int, int], capacity: int) -> Plan:
     plan.add((capacity,), int(c[capacity]))
     c[capacity] = 0
 
+    budget = sum(counts.values())  # containers that exact combinations may still fill
+
     def take(*lengths: int) -> bool:
         """Use the combination as often as possible."""
+        nonlocal budget
         need = defaultdict(int)
         for x in lengths:
             need[x] += 1
-        times = min(int(c[x]) // k for x, k in need.items())
+        times = min(budget, *(int(c[x]) // k for x, k in need.items()))
         if times:
+            budget -= times
             for x, k in need.items():
                 c[x] -= times * k
             plan.add(lengths, times)
         return times > 0
 
-    for length in range(capacity - 1, 0, -1):
-        gap = capacity - length
+    def singles(length: int) -> None:
         if c[length]:
-            take(length, gap)
-        # pairs x + y = gap, the larger first
+            take(length, capacity - length)
+
+    def pairs(length: int) -> None:
+        """x + y = gap, the larger first."""
+        gap = capacity - length
         while c[length]:
             x = np.arange((gap + 1) // 2, gap)
             ok = x[(c[x] > 0) & (c[gap - x] > 0)]
-            ok = ok[(ok != gap - ok) | (c[ok] > 1)]
-            ok = ok[((ok != length) | (c[length] > 1)) & ((gap - ok != length) | (c[length] > 1))]
-            if not len(ok) or not any(take(length, int(v), int(gap - v)) for v in ok[::-1]):
+            if not any(take(length, int(v), int(gap - v)) for v in ok[::-1]):
                 break
-        # triples x + y + z = gap, x the largest: the pair sums are looked up for each x
-        x = gap - 2
-        while c[length] and x >= (gap + 2) // 3:
-            if c[x] and (x != length or c[length] > 1):
+
+    def triples(length: int) -> None:
+        """x + y + z = gap, x the largest: the pair sums are looked up for each x."""
+        gap = capacity - length
+        for x in range(gap - 2, (gap + 2) // 3 - 1, -1):
+            if not c[length]:
+                break
+            if c[x]:
                 rest = gap - x
                 y = np.arange((rest + 1) // 2, min(rest - 1, x) + 1)
                 ok = y[(c[y] > 0) & (c[rest - y] > 0)]
@@ -87,7 +96,20 @@ def make_plan(counts: dict[int, int], capacity: int) -> Plan:
                     if not c[length] or not c[x]:
                         break
                     take(length, x, v, rest - v)
-            x -= 1
+
+    # Fewer parts first: large items that have a single complement don't use up the small ones.
+    half = capacity // 2
+    for fill in (singles, pairs, triples):
+        for length in range(capacity - 1, half, -1):
+            fill(length)
+    # Small items fill each other only as far as they aren't needed beside the large ones that are left.
+    at = np.arange(capacity + 1)
+    beside = int((c[half + 1 :] * (capacity - at[half + 1 :])).sum())
+    budget = max(0, int((c[: half + 1] * at[: half + 1]).sum()) - beside) // capacity
+    for fill in (singles, pairs, triples):
+        for length in range(half, 0, -1):
+            if budget:
+                fill(length)
     # best fit of the rest, longest first: open containers are kept as (free space -> pattern -> how many)
     space: dict[int, dict[tuple[int, ...], int]] = defaultdict(lambda: defaultdict(int))
     open_at = np.zeros(capacity + 1, dtype=bool)
