@@ -62,10 +62,8 @@ def _candidates(items: DataFrame, fundamentals: DataFrame, convert: bool, every_
     call, line = F.col("call_fy"), F.col("timeline")
     rows = rows.withColumns({"yb": fiscal.years_until(F.col("fy_hi"), call, line), "yu": fiscal.years_until(F.col("fy_lo"), call, line)})
     lo, hi = F.col("lo"), F.coalesce(F.nullif("hi", F.lit(0.0)), F.col("lo"))
-    if convert:
-        money = lambda v: values.to_crore(v, F.col("unit"), F.col("currency"), F.col("usdinr"))
-    else:
-        money = lambda v: v
+    rows = rows.withColumn("factor", values.crore_factor(F.col("unit"), F.col("currency"), F.col("usdinr")) if convert else F.lit(1.0))
+    money = lambda v: v * F.col("factor")
     pat, revenue, yb, yu = F.col("current_pat"), F.col("current_revenue"), F.col("yb"), F.col("yu")
     grown = lambda base, pct, years: base * F.pow(1 + pct / 100, years)
     unit = F.lower(F.trim(F.coalesce("unit", F.lit(""))))
@@ -74,11 +72,13 @@ def _candidates(items: DataFrame, fundamentals: DataFrame, convert: bool, every_
     guided = values.net_margin_equivalent(F.col("margin_hi"), F.col("margin_metric"), F.col("net_margin"), F.col("ebitda_margin"), F.col("pbt_margin"))
     bull_margin = F.greatest(F.coalesce(guided, trailing), trailing)
     absolute = F.col("metric") == "revenue_absolute"
+    # step by step, so that no expression is repeated inside another
     rev_lo = F.when(absolute, money(lo)).when(times, revenue * lo).otherwise(grown(revenue, lo, yb))
     rev_hi = F.when(absolute, money(hi)).when(times, revenue * hi).otherwise(grown(revenue, hi, yu))
-    future_lo = F.when(F.col("metric") == "pat_absolute", money(lo)).when(F.col("metric") == "pat_growth_pct", grown(pat, lo, yb)).otherwise(rev_lo * trailing)
-    future_hi = F.when(F.col("metric") == "pat_absolute", money(hi)).when(F.col("metric") == "pat_growth_pct", grown(pat, hi, yu)).otherwise(rev_hi * bull_margin)
-    rows = rows.withColumns({"rev_lo": rev_lo, "base": values.cagr(future_lo, pat, yb), "bull": values.cagr(future_hi, pat, yu)})
+    rows = rows.withColumns({"rev_lo": rev_lo, "rev_hi": rev_hi, "bull_margin": bull_margin})
+    target = lambda v, years, rev, margin: F.when(F.col("metric") == "pat_absolute", money(v)).when(F.col("metric") == "pat_growth_pct", grown(pat, v, years)).otherwise(rev * margin)
+    rows = rows.withColumns({"future_lo": target(lo, yb, F.col("rev_lo"), trailing), "future_hi": target(hi, yu, F.col("rev_hi"), F.col("bull_margin"))})
+    rows = rows.withColumns({"base": values.cagr(F.col("future_lo"), pat, yb), "bull": values.cagr(F.col("future_hi"), pat, yu)})
     if convert:
         rows = rows.where(~(absolute & (F.col("rev_lo").isNull() | (F.pow(F.col("rev_lo") / revenue, 1 / yb) - 1 > MAX_GROWTH))))
     label = values_label(rows)

@@ -173,7 +173,8 @@ def usdinr_on(day: Column) -> Column:
     y, m = _int(F.substring(F.trim(day), 1, 4)), _int(F.substring(F.trim(day), 6, 2))
     at = (y - USDINR_FIRST_YEAR) * 4 + F.floor((m - 1) / 3).cast("int")
     rates = F.array(*map(F.lit, USDINR))
-    return F.coalesce(F.element_at(rates, F.least(F.greatest(at, F.lit(0)), F.lit(len(USDINR) - 1)) + 1), F.lit(USDINR_DEFAULT))
+    clamped = F.least(F.greatest(at, F.lit(0)), F.lit(len(USDINR) - 1))  # these two skip nulls
+    return F.when(at.isNotNull(), F.element_at(rates, clamped + 1)).otherwise(F.lit(USDINR_DEFAULT))
 
 
 def detect_quarter(text: Column) -> Column:

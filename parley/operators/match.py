@@ -23,6 +23,17 @@ def similarity(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, a or "", b or "").ratio()
 
 
+def similarity_above(a: str | None, b: str | None, floor: float) -> float:
+    """The similarity if it is above `floor`, else 0: cheap upper bounds rule most pairs out before the full comparison."""
+    if a == b:
+        return 1.0 if floor < 1 else 0.0
+    m = SequenceMatcher(None, a or "", b or "")
+    if m.real_quick_ratio() <= floor or m.quick_ratio() <= floor:
+        return 0.0
+    s = m.ratio()
+    return s if s > floor else 0.0
+
+
 def passage_similarity(a: Column, b: Column, lower: bool = False) -> Column:
     """difflib ratio of two texts, null as an empty text; texts that are equal never reach Python's matcher."""
 
@@ -92,7 +103,7 @@ def two_pass_pairs(reference: DataFrame, found: DataFrame, tolerance: float = 0.
             best, score = None, least
             for j, y in enumerate(ex):
                 if j not in used:
-                    s = similarity((x["passage"] or "").lower(), (y["passage"] or "").lower())
+                    s = similarity_above((x["passage"] or "").lower(), (y["passage"] or "").lower(), score - 1e-9)
                     if s >= score:
                         best, score = j, s
             if best is not None:
@@ -134,7 +145,7 @@ def union_runs(items: DataFrame, threshold: float = 0.85) -> DataFrame:
             best, at = 0.0, None
             if run:
                 for p in places:
-                    s = similarity(passage, p[1])
+                    s = similarity_above(passage, p[1], max(best, threshold))
                     if s > best:
                         best, at = s, p
             if at is not None and best > threshold:

@@ -6,14 +6,12 @@ Items: doc, ord, chunk_id, metric, value, unit, timeline, passage, page, call_da
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import fiscal, values
-from .match import similarity
+from .match import similarity_above
 from .text import collapse
 
 
@@ -68,7 +66,7 @@ def fuzzy_repeats(kept: DataFrame, threshold: float = 0.90) -> DataFrame:
         for ord_, passage in zip(g["ord"], g["passage"]):
             passage = passage or ""
             for p in places:
-                if similarity(passage, p[1]) > threshold:
+                if similarity_above(passage, p[1], threshold) > threshold:
                     if len(passage) > len(p[1]):
                         p[0], p[1] = ord_, passage
                     p[2].append(ord_)

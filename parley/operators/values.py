@@ -75,19 +75,21 @@ def unit_word(unit: Column) -> Column:
     """A money unit in its plain form: 'Crs.' -> 'crore', 'mn' -> 'million'."""
     u = F.rtrim(F.trim(F.lower(F.coalesce(unit, F.lit("")))), F.lit("."))
     u = F.replace(F.replace(u, F.lit("mn"), F.lit("million")), F.lit("bn"), F.lit("billion"))
-    plain = {"crores": "crore", "crs": "crore", "cr": "crore", "lakhs": "lakh", "millions": "million", "billions": "billion"}
-    out = u
-    for k, v in plain.items():
-        out = F.when(u == k, F.lit(v)).otherwise(out)
-    return out
+    return F.regexp_replace(F.regexp_replace(u, "^(?:crores|crs|cr)$", "crore"), "^(lakh|million|billion)s$", "$1")
+
+
+def crore_factor(unit: Column, currency: Column, usdinr: Column) -> Column:
+    """What turns an amount into rupee crores; 1 for percent, multiples and bare numbers, null for unknown units."""
+    plain = {"": 1.0, "%": 1.0, "times": 1.0}
+    crores = {"crore": 1.0, "lakh": 0.01, "million": 0.1, "billion": 100.0}
+    factor = F.try_element_at(F.create_map(*[F.lit(x) for pair in {**crores, **plain}.items() for x in pair]), unit_word(unit))
+    dollars = (F.upper(F.coalesce(currency, F.lit(""))) == "USD") & unit_word(unit).isin(*crores)
+    return factor * F.when(dollars, usdinr).otherwise(F.lit(1.0))
 
 
 def to_crore(value: Column, unit: Column, currency: Column, usdinr: Column) -> Column:
     """Rupee crores of an amount; percent, multiples and bare numbers pass as they are, unknown units give null."""
-    u = unit_word(unit)
-    usd = F.upper(F.coalesce(currency, F.lit(""))) == "USD"
-    rate = lambda rupees, dollars: value * F.when(usd, usdinr * dollars).otherwise(F.lit(rupees))
-    return F.when(u == "crore", rate(1.0, 1.0)).when(u == "lakh", rate(0.01, 0.01)).when(u == "million", rate(0.1, 0.1)).when(u == "billion", rate(100.0, 100.0)).when(u.isin("", "%", "times"), value)
+    return value * crore_factor(unit, currency, usdinr)
 
 
 def rough_crore(value: Column, unit: Column, currency: Column, usdinr: float = 83.0) -> Column:

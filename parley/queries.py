@@ -29,7 +29,7 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     rows = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     fy = F.year(F.add_months(F.col("o_orderdate").cast("date"), 9))
     rows = rows.groupBy(F.col("o_custkey").alias("company"), fy.alias("fy")).agg(F.sum(net.cast("decimal(18,4)")).alias("s"), F.sum((net * (F.col("l_tax") - 0.03)).cast("decimal(18,4)")).alias("p"))
-    return rows.select("company", "fy", F.col("s").cast("double").alias("sales"), F.col("p").cast("double").alias("net_profit"))
+    return rows.select("company", "fy", F.round("s", 2).cast("double").alias("sales"), F.round("p", 2).cast("double").alias("net_profit"))
 
 
 def _fundamentals(spark: SparkSession, d: str) -> DataFrame:
@@ -363,7 +363,7 @@ def overlap_divergence(spark: SparkSession, d: str) -> DataFrame:
 def series_splice(spark: SparkSession, d: str) -> DataFrame:
     con, std = _two_bases(spark, d)
     r = series.resolve(con, std, "company", 2001)
-    return r.select("company", "fy", F.round("sales", 2).alias("sales"), F.round("net_profit", 2).alias("net_profit"), "source")
+    return r.select("company", "fy", F.round("sales", 4).alias("sales"), F.round("net_profit", 4).alias("net_profit"), "source")
 
 
 # --- ranking and cascade --------------------------------------------------------------------------
