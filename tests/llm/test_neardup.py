@@ -4,8 +4,6 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
-
 from parley.llm import graph, neardup
 
 
