@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import collapse_layout, strip_page
+from .text import strip_page
 
 OPENING_WORDS = 600
 LEAST_TURNS = 5

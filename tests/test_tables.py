@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import cascade, dedup, match, segment, series, validate
-from parley.session import table
 
 # Published ranking of six companies, base figures of fiscal year 2024.
 FUNDAMENTALS = [
