@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 #: Size classes to an octave, and salted blocks within a class, of the order within a source.
-CLASSES, SALTS = 8, 8
+CLASSES, SALTS = 8, 64
 #: Random offsets tried for each source.
 OFFSETS = 32
 
