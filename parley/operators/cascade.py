@@ -128,6 +128,12 @@ def acceleration(items: DataFrame, fundamentals: DataFrame) -> DataFrame:
     return rows.withColumns({"accel_base": difference("fwd_base"), "accel_bull": difference("fwd_bull")}).orderBy(F.col("accel_base").desc_nulls_last(), "company")
 
 
+def revenue_acceleration(items: DataFrame, fundamentals: DataFrame) -> DataFrame:
+    """The same ranking of revenue: forward growth of revenue less its trailing growth (revenue_cagr of `fundamentals`)."""
+    as_profit = {"current_pat": F.col("current_revenue"), "net_margin": F.lit(100.0), "pat_cagr": F.col("revenue_cagr"), "status": F.when(F.col("revenue_cagr").isNotNull(), "ok").otherwise("missing")}
+    return acceleration(items.where(driver_class(F.col("metric")) == "revenue"), fundamentals.withColumns(as_profit))
+
+
 def forward_valuation(items: DataFrame, fundamentals: DataFrame) -> DataFrame:
     """Ranking by forward price to earnings over growth, lowest first, companies without one at the end.
 

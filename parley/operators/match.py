@@ -134,6 +134,36 @@ def tag_agreement(pairs: DataFrame, reference: DataFrame, found: DataFrame, tags
     return long.groupBy("t.tag").agg(F.count_if("t.same").alias("agree"), F.count("*").alias("total"))
 
 
+def divergence(passage: Column, text: Column, anchor: int = 5, shown: int = 15) -> Column:
+    """struct(at, expected, found): where a passage parts from a text, word by word after their first common run of `anchor` words.
+
+    at: number of words before the first difference, -1 if the beginning isn't found;
+    expected and found: the words from there on. A diagnostic for small results.
+    """
+
+    def words(t: str | None) -> list[str]:
+        return (t or "").split()
+
+    def key(w: str) -> str:
+        return w.translate(str.maketrans("‘’“”–—", "''\"\"--")).replace("…", "...").lower()
+
+    def part(passage: str | None, text: str | None) -> tuple[int, str, str]:
+        a, b = words(passage), words(text)
+        ka, kb = [key(w) for w in a], [key(w) for w in b]
+        n = min(anchor, len(a))
+        start = next((i for i in range(len(b) - n + 1) if n and kb[i : i + n] == ka[:n]), None)
+        if start is None:
+            return -1, " ".join(a[:shown]), ""
+        at = next((j for j, w in enumerate(ka) if start + j >= len(kb) or kb[start + j] != w), len(a))
+        return at, " ".join(a[at : at + shown]), " ".join(b[start + at : start + at + shown])
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for x, y in batches:
+            yield pd.DataFrame([part(p, t) for p, t in zip(x, y)], columns=["at", "expected", "found"])
+
+    return pandas_udf(run, "at int, expected string, found string")(passage, text)
+
+
 def union_runs(items: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(chunk, ord, kept_as) of the items of two runs (chunk, run, ord, passage): an item of run 1 joins its most similar item if it is more than `threshold` similar, the longer passage standing for both."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # Weights of the composite score and the addition for buying promoters.
@@ -10,6 +10,16 @@ WEIGHTS = {"credibility": 0.15, "growth": 0.20, "valuation": 0.35, "acceleration
 PROMOTER_BONUS = 0.5
 
 
+def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
+    """A stage of a pipeline with the number of its rows, observed while it runs: no second pass."""
+    o = Observation(stage)
+    return df.observe(o, F.count(F.lit(1)).alias("rows")), o
+
+
+def has_target(metric: Column) -> Column:
+    return F.lower(F.coalesce(metric, F.lit("none"))) != "none"
+
+
 def composite(rows: DataFrame) -> DataFrame:
     """`score` of rows with the four parts (0 to 10) and promoter_buying; a missing part counts 0."""
     total = sum((F.coalesce(F.col(k), F.lit(0.0)) * w for k, w in WEIGHTS.items()), F.lit(0.0))
@@ -35,7 +45,7 @@ def adjusted_returns(prices: DataFrame, market: DataFrame, days: tuple[int, ...]
 
 def gate(candidate: DataFrame, reference: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """One row: agreement of a candidate model's targets (slug, metric, status, low) with a reference's."""
-    has = lambda c: F.lower(F.coalesce(F.col(c), F.lit("none"))) != "none"
+    has = lambda c: has_target(F.col(c))
     r = reference.select("slug", F.col("metric").alias("r_metric"), F.col("status").alias("r_status"), F.col("low").alias("r_low"))
     both = candidate.join(r, "slug")
     ok = has("metric") & has("r_metric") & (F.col("status") == "ok") & (F.col("r_status") == "ok")

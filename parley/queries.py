@@ -38,7 +38,7 @@ def _fundamentals(spark: SparkSession, d: str) -> DataFrame:
     base = series.base_and_trailing(s, "company", BASE_FY).withColumnRenamed("company", "customer")
     m = table(spark, d, "company_master").select(F.col("scrip").alias("company"), "name", (F.col("scrip").cast("bigint") % 100 + 1).alias("customer"), F.round(F.col("bse_mcap_cr") / 100, 2).alias("forward_pe"))
     f = m.join(base, "customer").select(
-        "company", "name", "forward_pe", F.col("revenue").alias("current_revenue"), F.col("pat").alias("current_pat"), "net_margin", "ebitda_margin", "pbt_margin", "status", "pat_cagr", F.lit(CALL_FY).alias("call_fy"), F.lit(85.125).alias("usdinr")
+        "company", "name", "forward_pe", F.col("revenue").alias("current_revenue"), F.col("pat").alias("current_pat"), "net_margin", "ebitda_margin", "pbt_margin", "status", "pat_cagr", "revenue_cagr", F.lit(CALL_FY).alias("call_fy"), F.lit(85.125).alias("usdinr")
     )
     return f
 
@@ -387,6 +387,11 @@ def acceleration_rank(spark: SparkSession, d: str) -> DataFrame:
     return r.select("company", "status", "pat_cagr", "near_base", "long_base", "fwd_horizon", "fwd_base", "fwd_bull", "accel_base", "accel_bull")
 
 
+def revenue_rank(spark: SparkSession, d: str) -> DataFrame:
+    r = cascade.revenue_acceleration(_cascade_items(spark, d), _fundamentals(spark, d))
+    return r.select("company", "status", "fwd_base", "fwd_bull", "accel_base")
+
+
 def forward_peg_rank(spark: SparkSession, d: str) -> DataFrame:
     r = cascade.forward_valuation(_cascade_items(spark, d), _fundamentals(spark, d))
     return r.select("company", "forward_pe", "best_base", "forward_peg")
@@ -500,6 +505,33 @@ def call_picks(spark: SparkSession, d: str) -> DataFrame:
     return scans.pick_call(scans.calls(_pages(spark, d))).select("key", "fy", "quarter", "transcript_url")
 
 
+def _profit_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A page with profit tables for each customer, written from the order series."""
+    s = _series(spark, d)
+    fixed = lambda c: F.format_number(F.col(c), 2)
+    cells = s.groupBy("company").agg(F.array_sort(F.collect_list(F.struct("fy", fixed("sales").alias("s"), fixed("net_profit").alias("p")))).alias("y"))
+    row = lambda label, c: F.concat(F.lit(f"<tr><td><b>{label}</b></td>"), F.array_join(F.transform("y", lambda y: F.concat(F.lit("<td>"), c(y), F.lit("</td>"))), ""), F.lit("</tr>"))
+    body = F.concat(row("", lambda y: F.concat(F.lit("Mar "), y["fy"].cast("string"))), row("Sales +", lambda y: y["s"]), row("Net Profit +", lambda y: y["p"]))
+    table_ = lambda head: F.concat(F.lit(f"<section><h2>{head}</h2><table>"), body, F.lit("</table></section>"))
+    top = F.concat(F.lit('Market Cap <span class="number">'), F.format_number(F.col("company") * 1000, 0), F.lit('</span> Stock P/E <span class="number">'), (F.col("company") % 40 + 0.5).cast("string"), F.lit("</span>"))
+    return cells.select(F.col("company").alias("key"), F.concat(top, table_("Quarterly Results"), table_("Profit &amp; Loss")).alias("html"))
+
+
+def profit_grid(spark: SparkSession, d: str) -> DataFrame:
+    return scans.profit_grid(_profit_pages(spark, d), {"Sales": "sales", "Net Profit": "net_profit"})
+
+
+def company_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    return scans.company_snapshot(_profit_pages(spark, d)).select("key", "fiscal_year", "revenue", "pat", "net_margin", "pe", "mcap", "forward_pat", "forward_pe")
+
+
+def passage_divergence(spark: SparkSession, d: str) -> DataFrame:
+    """Where the passages of items part from the first chunk of their call."""
+    first = table(spark, d, "chunks").groupBy(F.col("call_id").alias("c")).agg(F.min_by("text", "chunk_key").alias("text"))
+    rows = table(spark, d, "raw_items").join(first, F.col("call_id") == F.col("c"), "left").select("item_id", match.divergence(F.col("passage"), F.col("text")).alias("x"))
+    return rows.select("item_id", "x.at", "x.expected", "x.found")
+
+
 def ground_truth_blocks(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "guidance_items")
     block = F.concat(F.lit("- id: "), F.col("guidance_id").cast("string"), F.lit('\npassage: "'), F.regexp_replace("passage", r"[\r\n]+", " "), F.lit('"\nmetric: '), F.col("metric"), F.lit("\nguidance_value: "), F.coalesce(F.concat(F.lit('"'), F.col("guidance_value"), F.lit('"')), F.lit("null")))

@@ -12,9 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fiscal
+from ..operators import fiscal, series
 from ..operators.dedup import by_priority, first_by
-from ..operators.text import quote_url, urls
+from ..operators.text import market_cap, quote_url, urls
 from . import schemas
 
 
@@ -190,23 +190,52 @@ def nearest_month(listed: DataFrame) -> DataFrame:
     return listed.where("transcript_url is not null").groupBy("key", "fy", "quarter").agg(F.min_by("transcript_url", F.struct(F.abs(m - middle), "ord")).alias("transcript_url"))
 
 
+def table_cells(pages: DataFrame, heading: str) -> DataFrame:
+    """(key, r, c, cell): the cells of the first table below a heading that begins with a word, tags taken out."""
+    section = F.regexp_extract("html", rf"(?s)<h2[^>]*>\s*{heading}.*?<table[^>]*>(.*?)</table>", 1)
+    text = F.trim(F.regexp_replace(F.regexp_replace("cell", "<[^>]+>", " "), r"\s+", " "))
+    rows = pages.select("key", F.posexplode(F.regexp_extract_all(section, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("r", "row"))
+    cells = rows.select("key", "r", F.posexplode(F.regexp_extract_all("row", F.lit(r"(?s)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1))).alias("c", "cell"))
+    return cells.withColumn("cell", text)
+
+
+def _number(c: Column) -> Column:
+    return F.replace(F.regexp_replace(c, r"[₹,%\s]", ""), F.lit("−"), F.lit("-")).try_cast("double")
+
+
+def _labels(cells: DataFrame) -> DataFrame:
+    return cells.where("r > 0 and c = 0").select("key", "r", F.trim(F.replace("cell", F.lit("+"), F.lit(""))).alias("label"))
+
+
 def profit_grid(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
     """(key, fy, one column for each of `labels`) of the annual profit table of a company page.
 
     Cells become long rows inside the JVM, then one aggregate over the fixed labels.
     """
-    section = F.regexp_extract("html", r"(?s)<h2[^>]*>\s*Profit.*?<table[^>]*>(.*?)</table>", 1)
-    text = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
-    cells = lambda row: F.regexp_extract_all(row, F.lit(r"(?s)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1))
-    rows = pages.select("key", F.posexplode(F.regexp_extract_all(section, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("r", "row"))
-    long = rows.select("key", "r", F.posexplode(cells(F.col("row"))).alias("c", "cell")).withColumn("cell", text(F.col("cell")))
+    long = table_cells(pages, "Profit")
     head = long.where("r = 0").select("key", "c", F.regexp_extract("cell", r"Mar\s+(\d{4})", 1).try_cast("int").alias("fy")).where("fy is not null")
-    name = long.where("r > 0 and c = 0").select("key", "r", F.trim(F.replace("cell", F.lit("+"), F.lit(""))).alias("label"))
-    number = F.replace(F.regexp_replace("cell", r"[₹,%\s]", ""), F.lit("−"), F.lit("-")).try_cast("double")
-    body = long.where("r > 0 and c > 0").select("key", "r", "c", number.alias("value"))
-    from ..operators.series import grid
-
-    return grid(body.join(head, ["key", "c"]).join(name, ["key", "r"]), ["key", "fy"], "label", "value", labels)
+    body = long.where("r > 0 and c > 0").select("key", "r", "c", _number(F.col("cell")).alias("value"))
+    return series.grid(body.join(head, ["key", "c"]).join(_labels(long), ["key", "r"]), ["key", "fy"], "label", "value", labels)
+
+
+def last_column(pages: DataFrame, heading: str, labels: dict[str, str]) -> DataFrame:
+    """(key, period, one column for each of `labels`): the last column of the table below a heading."""
+    long = table_cells(pages, heading)
+    head = long.where("r = 0").groupBy("key").agg(F.max("c").alias("c"), F.max_by("cell", "c").alias("period"))
+    body = long.where("r > 0 and c > 0").select("key", "r", "c", _number(F.col("cell")).alias("value"))
+    return series.grid(body.join(head, ["key", "c"]).join(_labels(long), ["key", "r"]), ["key", "period"], "label", "value", labels)
+
+
+def company_snapshot(pages: DataFrame) -> DataFrame:
+    """One row for each page that tells revenue and profit: figures of the last year, run rate of the last quarter, forward price to earnings."""
+    annual = last_column(pages, "Profit", {"Sales": "revenue", "Net Profit": "pat", "OPM %": "ebitda_margin", "Profit before tax": "pbt"}).withColumnRenamed("period", "fiscal_year")
+    quarter = last_column(pages, "Quarterly", {"Net Profit": "quarter_pat"}).withColumnRenamed("period", "quarter")
+    ratio = F.regexp_extract("html", r'(?s)Stock P/E.*?<span[^>]*class="number"[^>]*>\s*([\d,]+(?:\.\d+)?)\s*</span>', 1)
+    top = pages.select("key", _number(F.nullif(ratio, F.lit(""))).alias("pe"), market_cap(F.col("html")).alias("mcap"))
+    rows = top.join(annual, "key").join(quarter, "key", "left").where("revenue is not null and pat is not null")
+    share = lambda c: F.round(F.nullif(F.col(c), F.lit(0.0)) / F.nullif(F.col("revenue"), F.lit(0.0)) * 100, 2)
+    rows = rows.withColumns({"net_margin": share("pat"), "pbt_margin": share("pbt"), "forward_pat": F.round(F.nullif(F.col("quarter_pat"), F.lit(0.0)) * 4, 1)})
+    return rows.withColumn("forward_pe", F.round(F.nullif(F.col("mcap"), F.lit(0.0)) / F.nullif(F.col("forward_pat"), F.lit(0.0)), 1))
 
 
 def links_in(texts: DataFrame) -> DataFrame:

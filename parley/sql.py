@@ -420,6 +420,18 @@ SQL: dict[str, str] = {
         s as (select *, case when near then near_base else long_base end as fwd_base, case when near then near_bull else long_bull end as fwd_bull, case when near then 'near' when long_base is not null then 'long' else '—' end as fwd_horizon from r)
         select company, status, pat_cagr, near_base, long_base, fwd_horizon, fwd_base, fwd_bull, case when status = 'ok' and fwd_base is not null then round(fwd_base - pat_cagr, 1) end as accel_base, case when status = 'ok' and fwd_base is not null then round(fwd_bull - pat_cagr, 1) end as accel_bull from s
     """,
+    "revenue_rank": rf"""
+        with {_ITEMS.replace("case when metric in ('pat_absolute', 'pat_growth_pct') then 'pat' when", "case when").replace("when metric in ('ebitda_margin_pct', 'pbt_margin_pct') then 'margin' end", "end")}, {_drivers(True, False)},
+        {_FUND.replace("pat as current_pat, net_margin,", "revenue as current_pat, 100.0::double as net_margin,").replace("status, case when status = 'ok' then pat_cagr0 end as pat_cagr", "case when revenue_cagr is not null then 'ok' else 'missing' end as status, revenue_cagr as pat_cagr")}, {_growth(True)}, {_BLOCKS},
+        s as (select *, greatest(near_base, long_base) as fwd_base, case when near_base is not null and (long_base is null or near_base >= long_base) then near_bull else long_bull end as fwd_bull from fund left join blocks using (company))
+        select company, status, fwd_base, fwd_bull, case when status = 'ok' then round(fwd_base - pat_cagr, 1) end as accel_base from s
+    """,
+    "profit_grid": rf"with {_SERIES} select company as key, fy, sales, net_profit from series0",
+    "company_snapshot": rf"""
+        with {_SERIES}, l as (select company as key, arg_max(fy, fy) as fy, arg_max(sales, fy) as revenue, arg_max(net_profit, fy) as pat from series0 group by company),
+        m as (select *, round(nullif(pat, 0) / nullif(revenue, 0) * 100, 2) as net_margin, (key % 40 + 0.5)::double as pe, (key * 1000)::double as mcap, round(nullif(pat, 0) * 4, 1) as forward_pat from l)
+        select key, 'Mar ' || fy as fiscal_year, revenue, pat, net_margin, pe, mcap, forward_pat, round(nullif(mcap, 0) / nullif(forward_pat, 0), 1) as forward_pe from m
+    """,
     "forward_peg_rank": rf"""
         with {_ITEMS}, {_drivers(False, True)}, {_FUND}, {_growth(False)}, {_BLOCKS} select company, forward_pe, greatest(near_base, long_base) as best_base, round(nullif(forward_pe, 0) / nullif(greatest(near_base, long_base), 0), 2) as forward_peg from fund left join blocks using (company)
     """,
