@@ -277,10 +277,12 @@ def label_table(labels: DataFrame, participants: DataFrame) -> DataFrame:
 # --- turns ----------------------------------------------------------------------------------------
 
 
-def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int) -> DataFrame:
-    """Stretches of speech with their speaker and the number of their turn."""
+def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int, texts: bool) -> DataFrame:
+    """Stretches of speech with their speaker and the number of their turn, with or without what was said."""
     base = turns.select("call_id", "turn_id", "char_start", "speaker", "role", "text")
     parts = segments(base)
+    if not texts:
+        parts = cut(parts.drop("speech", "plain"))  # small without the texts, and read for the labels and for the rows
     labels = base.select("call_id", F.explode(F.array("speaker")).alias("label")).where("label is not null").distinct()
     labels = labels.unionByName(parts.select("call_id", F.col("inline").alias("label")).where("label is not null")).distinct()
     known = cut(label_table(labels, participants))  # read by both joins below
@@ -292,7 +294,8 @@ def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int) -> Data
     rows = rows.join(within, F.col("call_id").eqNullSafe(F.col("c2")) & (F.col("inline") == F.col("l2")), "left").drop("c2", "l2")
     # a name inside the text that is no participant is part of the text
     named = F.col("inline").isNull() | F.col("within").isNotNull()
-    rows = rows.withColumn("speech", F.when(named, F.col("speech")).otherwise(F.col("plain"))).where(F.col("speaks") | ~named)
+    rows = rows.where(F.col("speaks") | ~named)
+    rows = rows.withColumn("speech", F.when(named, F.col("speech")).otherwise(F.col("plain")) if texts else F.lit(None).cast("string"))
 
     role = role_class(F.col("role"))
     same_role = F.filter(F.col("own.fits"), lambda f: f["role"] == role)
@@ -338,7 +341,7 @@ def _spoken(turns: DataFrame, participants: DataFrame, block_chars: int) -> Data
 
 def clean_turns(turns: DataFrame, participants: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(call_id, turn_no, first_turn_id, last_turn_id, participant_id, speaker, role, text) of every clean turn."""
-    rows = _spoken(turns, participants, block_chars)
+    rows = _spoken(turns, participants, block_chars, True)
     place = F.struct("pos", "turn_id", "part")
     out = rows.groupBy("call_id", "turn_no").agg(
         F.min_by("turn_id", place).alias("first_turn_id"),
@@ -354,7 +357,7 @@ def clean_turns(turns: DataFrame, participants: DataFrame, block_chars: int = BL
 
 def turn_bounds(turns: DataFrame, participants: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(call_id, first_turn_id, last_turn_id, participant_id) of every clean turn; texts stay out of the shuffles."""
-    rows = _spoken(turns, participants, block_chars)
+    rows = _spoken(turns, participants, block_chars, False)
     place = F.struct("pos", "turn_id", "part")
     out = rows.groupBy("call_id", "turn_no").agg(F.min_by("turn_id", place).alias("first_turn_id"), F.max_by("turn_id", place).alias("last_turn_id"), F.first("now").alias("who"))
     return out.select("call_id", "first_turn_id", "last_turn_id", F.col("who.id").alias("participant_id"))
