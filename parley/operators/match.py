@@ -8,10 +8,11 @@ handful, meet in one group and nothing else does.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -34,6 +35,30 @@ def similarity_above(a: str | None, b: str | None, floor: float) -> float:
     return s if s > floor else 0.0
 
 
+_ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
+
+
+def fold_groups(rows: DataFrame, keys: list[str], columns: list[str], fold: Callable[[list[dict]], Iterable[tuple]], out: dict[str, str]) -> DataFrame:
+    """(keys, out): the tuples that fold(items) yields for each group, its items in the order of `columns`.
+
+    A group is one row with an array, so many small groups share a batch on their way
+    to Python. For groups that are small by nature: the items of a chunk, or of a
+    document's metric and timeline.
+    """
+    packed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("__items"))
+    kinds = dict(packed.dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), *(f"`{k}` {v}" for k, v in out.items())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, r) for i, items in enumerate(batch.column(len(keys)).to_pylist()) for r in fold(items)]
+            take = pa.array([i for i, _ in found], pa.int64())
+            made = [pa.array([r[j] for _, r in found], _ARROW[t]) for j, t in enumerate(out.values())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keys))), *made], [*keys, *out])
+
+    return packed.mapInArrow(run, schema)
+
+
 def passage_similarity(a: Column, b: Column, lower: bool = False) -> Column:
     """difflib ratio of two texts, null as an empty text; texts that are equal never reach Python's matcher."""
 
@@ -58,17 +83,18 @@ def greedy_pairs(reference: DataFrame, found: DataFrame, tolerance: float = 0.10
     same = F.col("doc").eqNullSafe(F.col("__d")) & F.col("metric").eqNullSafe(F.col("__m")) & F.col("timeline").eqNullSafe(F.col("__t"))
     candidates = r.join(f, same).where(within(F.col("ref_mid"), F.col("found_mid"), tolerance))
 
-    def choose(g: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        for ref, options in g.sort_values(["ref_ord", "found_ord"]).groupby("ref_ord", sort=True)["found_ord"]:
-            take = next((x for x in options if x not in used), None)
-            if take is not None:
-                used.add(take)
-                out.append((g["doc"].iloc[0], ref, take))
-        return pd.DataFrame(out, columns=["doc", "ref_ord", "found_ord"])
+    def choose(items: list[dict]) -> Iterator[tuple]:
+        used: set = set()
+        done = None
+        for x in items:
+            if x["ref_ord"] != done and x["found_ord"] not in used:
+                used.add(x["found_ord"])
+                done = x["ref_ord"]
+                yield x["ref_ord"], x["found_ord"]
 
     t = dict(candidates.dtypes)
-    return candidates.select("doc", "metric", "timeline", "ref_ord", "found_ord").groupBy("doc", "metric", "timeline").applyInPandas(choose, f"doc {t['doc']}, ref_ord {t['ref_ord']}, found_ord {t['found_ord']}")
+    chosen = fold_groups(candidates, ["doc", "metric", "timeline"], ["ref_ord", "found_ord"], choose, {"ref_ord": t["ref_ord"], "found_ord": t["found_ord"]})
+    return chosen.select("doc", "ref_ord", "found_ord")
 
 
 def two_pass_pairs(reference: DataFrame, found: DataFrame, tolerance: float = 0.15, least: float = 0.6) -> DataFrame:
@@ -76,26 +102,23 @@ def two_pass_pairs(reference: DataFrame, found: DataFrame, tolerance: float = 0.
 
     Both tables: doc, ord, metric, lo, hi, years (array), passage.
     """
-    columns = ["doc", "ord", "metric", "lo", "hi", "years", "passage"]
-
-    def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out, used = [], set()
-        a, b = a.sort_values("ord"), b.sort_values("ord")
-        ref, ex = a.to_dict("records"), b.to_dict("records")
-
-        def value_fits(x: dict, y: dict) -> bool:
-            none = pd.isna(x["lo"]), pd.isna(y["lo"])
-            if any(none):
-                return all(none)
-            m, n = (x["lo"] + x["hi"]) / 2, (y["lo"] + y["hi"]) / 2
-            return n == 0 if m == 0 else abs(m - n) / m <= tolerance
-
-        left = []
+    columns = ["ord", "metric", "lo", "hi", "years", "passage"]
+
+    def value_fits(x: dict, y: dict) -> bool:
+        none = x["lo"] is None, y["lo"] is None
+        if any(none):
+            return all(none)
+        m, n = (x["lo"] + x["hi"]) / 2, (y["lo"] + y["hi"]) / 2
+        return n == 0 if m == 0 else abs(m - n) / m <= tolerance
+
+    def match(items: list[dict]) -> Iterator[tuple]:
+        ref, ex = ([x for x in items if x["side"] == s] for s in (0, 1))
+        used, left = set(), []
         for x in ref:
             for j, y in enumerate(ex):
                 if j not in used and (x["metric"] or "").strip() == (y["metric"] or "").strip() and set(x["years"]) & set(y["years"]) and value_fits(x, y):
                     used.add(j)
-                    out.append((key[0], x["ord"], y["ord"], "strict"))
+                    yield x["ord"], y["ord"], "strict"
                     break
             else:
                 left.append(x)
@@ -108,12 +131,11 @@ def two_pass_pairs(reference: DataFrame, found: DataFrame, tolerance: float = 0.
                         best, score = j, s
             if best is not None:
                 used.add(best)
-                out.append((key[0], x["ord"], ex[best]["ord"], "soft"))
-        return pd.DataFrame(out, columns=["doc", "ref_ord", "found_ord", "kind"])
+                yield x["ord"], ex[best]["ord"], "soft"
 
-    t = dict(reference.dtypes)
-    schema = f"doc {t['doc']}, ref_ord {t['ord']}, found_ord {t['ord']}, kind string"
-    return reference.select(*columns).groupBy("doc").cogroup(found.select(*columns).groupBy("doc")).applyInPandas(match, schema)
+    kind = dict(reference.dtypes)["ord"]
+    both = reference.select("doc", F.lit(0).alias("side"), *columns).unionByName(found.select("doc", F.lit(1).alias("side"), *columns))
+    return fold_groups(both, ["doc"], ["side", *columns], match, {"ref_ord": kind, "found_ord": kind, "kind": "string"})
 
 
 def precision_recall(pairs: DataFrame, reference: DataFrame, found: DataFrame) -> DataFrame:
@@ -167,13 +189,12 @@ def divergence(passage: Column, text: Column, anchor: int = 5, shown: int = 15)
 def union_runs(items: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(chunk, ord, kept_as) of the items of two runs (chunk, run, ord, passage): an item of run 1 joins its most similar item if it is more than `threshold` similar, the longer passage standing for both."""
 
-    def merge(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["run", "ord"])
+    def merge(group: list[dict]) -> Iterator[tuple]:
         places: list[list] = []
-        for run, ord_, passage in zip(g["run"], g["ord"], g["passage"]):
-            passage = passage or ""
+        for item in group:
+            ord_, passage = item["ord"], item["passage"] or ""
             best, at = 0.0, None
-            if run:
+            if item["run"]:
                 for p in places:
                     s = similarity_above(passage, p[1], max(best, threshold))
                     if s > best:
@@ -184,10 +205,12 @@ def union_runs(items: DataFrame, threshold: float = 0.85) -> DataFrame:
                 at[2].append(ord_)
             else:
                 places.append([ord_, passage, [ord_]])
-        return pd.DataFrame([(g["chunk"].iloc[0], m, p[0]) for p in places for m in p[2]], columns=["chunk", "ord", "kept_as"])
+        for p in places:
+            for m in p[2]:
+                yield m, p[0]
 
-    t = dict(items.dtypes)
-    return items.select("chunk", "run", "ord", "passage").groupBy("chunk").applyInPandas(merge, f"chunk {t['chunk']}, ord {t['ord']}, kept_as {t['ord']}")
+    kind = dict(items.dtypes)["ord"]
+    return fold_groups(items, ["chunk"], ["run", "ord", "passage"], merge, {"ord": kind, "kept_as": kind})
 
 
 def containing_chunk(passages: DataFrame, chunks: DataFrame) -> DataFrame:

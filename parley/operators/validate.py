@@ -6,12 +6,13 @@ Items: doc, ord, chunk_id, metric, value, unit, timeline, passage, page, call_da
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import fiscal, values
-from .match import similarity_above
+from .match import fold_groups, similarity_above
 from .text import collapse
 
 
@@ -60,11 +61,10 @@ def fuzzy_repeats(kept: DataFrame, threshold: float = 0.90) -> DataFrame:
     group at a time, blocked by its key.
     """
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["group_order", "ord"])
+    def fold(items: list[dict]) -> Iterator[tuple]:
         places: list[list] = []  # [ord, passage, members]
-        for ord_, passage in zip(g["ord"], g["passage"]):
-            passage = passage or ""
+        for item in items:
+            ord_, passage = item["ord"], item["passage"] or ""
             for p in places:
                 if similarity_above(passage, p[1], threshold) > threshold:
                     if len(passage) > len(p[1]):
@@ -73,9 +73,11 @@ def fuzzy_repeats(kept: DataFrame, threshold: float = 0.90) -> DataFrame:
                     break
             else:
                 places.append([ord_, passage, [ord_]])
-        doc = g["doc"].iloc[0]
-        return pd.DataFrame([(doc, m, p[0]) for p in places for m in p[2]], columns=["doc", "ord", "kept_as"])
-
-    rows = kept.where("kept").select("doc", "ord", "metric", "clean_timeline", "passage", "group_order")
-    t = dict(rows.dtypes)
-    return rows.groupBy("doc", "metric", "clean_timeline").applyInPandas(fold, f"doc {t['doc']}, ord {t['ord']}, kept_as {t['ord']}")
+        for p in places:
+            for m in p[2]:
+                yield m, p[0]
+
+    rows = kept.where("kept")
+    kind = dict(rows.dtypes)["ord"]
+    folded = fold_groups(rows, ["doc", "metric", "clean_timeline"], ["group_order", "ord", "passage"], fold, {"ord": kind, "kept_as": kind})
+    return folded.select("doc", "ord", "kept_as")

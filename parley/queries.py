@@ -233,9 +233,9 @@ def item_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _eval_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    g = table(spark, d, "guidance_items").where("scrip is not null")
+    g = table(spark, d, "guidance_items").where("call_id is not null")
     b = values.bounds(F.col("guidance_value"))
-    rows = g.select(F.col("scrip").alias("doc"), F.col("guidance_id").alias("ord"), "metric", F.coalesce("timeline", F.lit("")).alias("timeline"), values.midpoint(F.col("guidance_value")).alias("mid"), b["lo"].alias("lo"), b["hi"].alias("hi"), fiscal.years_spanned(F.col("timeline")).alias("years"), "passage", "horizon", "level", "track", "credibility_scorable")
+    rows = g.select(F.col("call_id").alias("doc"), F.col("guidance_id").alias("ord"), "metric", F.coalesce("timeline", F.lit("")).alias("timeline"), values.midpoint(F.col("guidance_value")).alias("mid"), b["lo"].alias("lo"), b["hi"].alias("hi"), fiscal.years_spanned(F.col("timeline")).alias("years"), "passage", "horizon", "level", "track", "credibility_scorable")
     return rows.where(F.col("ord") % 2 == 0), rows.where(F.col("ord") % 2 == 1)
 
 
@@ -398,7 +398,8 @@ def forward_peg_rank(spark: SparkSession, d: str) -> DataFrame:
 
 
 def other_signals(spark: SparkSession, d: str) -> DataFrame:
-    return cascade.other_signals(_items(spark, d).where("company is not null"))
+    items = _items(spark, d).withColumn("company", F.concat_ws("/", "company", "call_id"))  # a company on one call
+    return cascade.other_signals(items)
 
 
 def attachment_rank(spark: SparkSession, d: str) -> DataFrame:
@@ -535,7 +536,7 @@ def passage_divergence(spark: SparkSession, d: str) -> DataFrame:
 def ground_truth_blocks(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "guidance_items")
     block = F.concat(F.lit("- id: "), F.col("guidance_id").cast("string"), F.lit('\npassage: "'), F.regexp_replace("passage", r"[\r\n]+", " "), F.lit('"\nmetric: '), F.col("metric"), F.lit("\nguidance_value: "), F.coalesce(F.concat(F.lit('"'), F.col("guidance_value"), F.lit('"')), F.lit("null")))
-    docs = g.where("passage is not null and metric is not null").select(F.col("scrip").alias("doc"), F.struct("guidance_id", block.alias("b")).alias("x")).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["b"]), "\n\n").alias("text"))
+    docs = g.where("passage is not null and metric is not null").select(F.col("call_id").alias("doc"), F.struct("guidance_id", block.alias("b")).alias("x")).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["b"]), "\n\n").alias("text"))
     return scans.ground_truth(docs).select("id", "metric", "guidance_value")
 
 

@@ -216,7 +216,7 @@ _CHECKED = rf"""
 
 _EVAL = rf"""
     ev as (
-        select scrip as doc, guidance_id as ord, metric, coalesce(timeline, '') as timeline, replace(trim(guidance_value), '–', '-') as v, horizon, level, track, credibility_scorable from guidance_items where scrip is not null
+        select call_id as doc, guidance_id as ord, metric, coalesce(timeline, '') as timeline, replace(trim(guidance_value), '–', '-') as v, horizon, level, track, credibility_scorable from guidance_items where call_id is not null
     ), em as (
         select *, coalesce((try_cast(nullif(regexp_extract(v, '^({_NUM})\s*-\s*({_NUM})$', 1), '') as double) + try_cast(nullif(regexp_extract(v, '^({_NUM})\s*-\s*({_NUM})$', 2), '') as double)) / 2, case when regexp_matches(v, '^[+-]?(\d+\.?\d*|\.\d+)$') then try_cast(v as double) end) as mid from ev
     )"""
@@ -436,8 +436,8 @@ SQL: dict[str, str] = {
         with {_ITEMS}, {_drivers(False, True)}, {_FUND}, {_growth(False)}, {_BLOCKS} select company, forward_pe, greatest(near_base, long_base) as best_base, round(nullif(forward_pe, 0) / nullif(greatest(near_base, long_base), 0), 2) as forward_peg from fund left join blocks using (company)
     """,
     "other_signals": r"""
-        select scrip as company, string_agg(trim('[' || level || '] ' || coalesce(metric, '') || case when coalesce(guidance_value, '') <> '' then ': ' || guidance_value || ' ' || coalesce(guidance_unit, '') || ' ' || coalesce(currency, '') else '' end || ' by ' || coalesce(timeline, '')), ' | ' order by guidance_id) as signals
-        from guidance_items where level <> 'company' and scrip is not null group by scrip
+        select concat_ws('/', scrip, call_id) as company, string_agg(trim('[' || level || '] ' || coalesce(metric, '') || case when coalesce(guidance_value, '') <> '' then ': ' || guidance_value || ' ' || coalesce(guidance_unit, '') || ' ' || coalesce(currency, '') else '' end || ' by ' || coalesce(timeline, '')), ' | ' order by guidance_id) as signals
+        from guidance_items where level <> 'company' group by scrip, call_id
     """,
     "attachment_rank": r"""
         select call_id, attachment, contains(lower(coalesce(headline, '')), 'transcript') as says from filings where call_id is not null and attachment is not null
