@@ -19,6 +19,12 @@ USDINR = (
     71.0, 71.2, 72.5, 75.9, 74.4, 73.8, 72.8, 73.8, 74.0, 74.8, 75.3, 77.3, 79.7, 81.5, 82.3, 82.0, 82.7, 83.3, 82.9, 83.4, 83.7, 84.5, 86.4, 85.6, 86.0, 86.5,
 )
 USDINR_DEFAULT = 83.4
+# Words for the running and the following fiscal year.
+THIS_YEAR = r"\b(this|current)\s+(financial|fiscal)\s+year\b|\bthis\s+fiscal\b|\bend\s+of\s+(this|the)\s+(financial|fiscal)\s+year\b"
+NEXT_YEAR = r"\bnext\s+(financial|fiscal)\s+year\b|\bnext\s+year\b|\bcoming\s+year\b"
+# How titles write a fiscal year, and the quarter a month ends.
+TITLE_YEAR = r"\bf\.?\s*y\.?['‘’`´°\-.\s]*(?:\d{2,4}\s*[-/]\s*)?(\d{2,4})\b"
+QUARTER_ENDS = {"june": 1, "september": 2, "december": 3, "march": 4}
 
 
 def _int(c: Column) -> Column:
@@ -117,14 +123,12 @@ def year2(text: Column, day: Column) -> Column:
     The 'FY' of a number must begin a word: 'H1FY28' names no year.
     """
     low = F.lower(text)
-    this = r"\b(this|current)\s+(financial|fiscal)\s+year\b|\bthis\s+fiscal\b|\bend\s+of\s+(this|the)\s+(financial|fiscal)\s+year\b"
-    following = r"\bnext\s+(financial|fiscal)\s+year\b|\bnext\s+year\b|\bcoming\s+year\b"
     return F.coalesce(
         _int(_found(low, r"\bfy\s*(\d{2,4})\b")) % 100,
         _int(_found(text, r"\b20\d{2}[/\-](\d{2,4})\b")) % 100,
         _int(_found(text, r"\b(20\d{2})\b")) % 100,
-        F.when(low.rlike(this), fiscal_year2(day)),
-        F.when(low.rlike(following), fiscal_year2(day) + 1),
+        F.when(low.rlike(THIS_YEAR), fiscal_year2(day)),
+        F.when(low.rlike(NEXT_YEAR), fiscal_year2(day) + 1),
     )
 
 
@@ -180,15 +184,16 @@ def usdinr_on(day: Column) -> Column:
 def detect_quarter(text: Column) -> Column:
     """struct(quarter, fy) a title names: 'Q4 FY24', 'third quarter ... FY23-24', 'quarter ended March 31, 2024'."""
     t = F.lower(text)
-    sep = r"['‘’`´°\-.\s]*"
-    fy = rf"\bf\.?\s*y\.?{sep}(?:\d{{2,4}}\s*[-/]\s*)?(\d{{2,4}})\b"
+    fy = TITLE_YEAR
     two = lambda y: F.concat(F.lit("FY"), F.right(y, F.lit(2)))
     direct_q, direct_y = (_found(t, rf"\bq([1-4])\b\s*(?:&|and)?\s*{fy}", g) for g in (1, 2))
     word = F.regexp_extract(t, r"\b(first|second|third|fourth)\s+quarter", 1)
     spoken = F.when(word == "first", 1).when(word == "second", 2).when(word == "third", 3).when(word == "fourth", 4)
     ended = r"ended\s+(?:on\s+)?(\w+)\s+\d{0,2},?\s*(\d{4})"
     month, year = F.regexp_extract(t, ended, 1), _int(_found(t, ended, 2))
-    by_month = F.when(month == "june", 1).when(month == "september", 2).when(month == "december", 3).when(month == "march", 4)
+    by_month = F.lit(None).cast("int")
+    for name, n in QUARTER_ENDS.items():
+        by_month = F.when(month == name, n).otherwise(by_month)
     end_year = F.when(month == "march", year).otherwise(year + 1)
     spoken_y = _found(t, fy)
     q = F.when(direct_q.isNotNull(), direct_q.cast("int")).when(by_month.isNotNull() & year.isNotNull(), F.coalesce(spoken, by_month)).when(spoken.isNotNull() & spoken_y.isNotNull(), spoken)

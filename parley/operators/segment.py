@@ -22,8 +22,10 @@ NO_SPEAKER = frozenset(
     "Note Disclaimer Background Summary Conclusion Important Update Result Overview Outlook Please Date Venue Time Subject Dear Thanks Regards Encl Sir Madam Yours".split()
 )
 ROSTER_BLOCKS = ("MANAGEMENT", "PARTICIPANTS", "PARTICIPANT", "SPEAKERS", "SPEAKER")
+# Where a roster block ends, how a paragraph names its speaker, and how a roster names a person.
 _BLOCK_END = r"(?=^[ \t]*(?:MANAGEMENT|MODERATOR|ANALYST|PARTICIPANTS?|SPEAKERS?)\s*:|\z)"
 _HEAD = r"^\s*((?:[A-Z]\.\s+){0,2}[A-Z][a-z]+(?:\s+[A-Z][a-z.]*){0,3})\s*:"
+_PERSON = r"(?i)(?:MR|MS|MRS|DR)\.\s+([A-Z][A-Za-z.]+(?:\s+[A-Z][A-Za-z.]+){0,2})\s*[–\-:]"
 
 
 def clean_pages(pages: DataFrame, first_page: int = 3) -> DataFrame:
@@ -59,7 +61,7 @@ def page_of(offsets: DataFrame, bounds: DataFrame) -> DataFrame:
 def roster(page: Column, block: str) -> Column:
     """Names with a title in a block of the participant page, as an array."""
     body = F.regexp_extract(page, rf"(?smi)^[ \t]*{block}\s*:(.*?){_BLOCK_END}", 1)
-    names = F.regexp_extract_all(body, F.lit(r"(?i)(?:MR|MS|MRS|DR)\.\s+([A-Z][A-Za-z.]+(?:\s+[A-Z][A-Za-z.]+){0,2})\s*[–\-:]"), F.lit(1))
+    names = F.regexp_extract_all(body, F.lit(_PERSON), F.lit(1))
     return F.array_distinct(F.transform(names, lambda n: F.initcap(F.trim(F.regexp_replace(n, r"\s+", " ")))))
 
 

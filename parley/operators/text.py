@@ -29,6 +29,10 @@ STATUTORY = (
     r"notice\s+is\s+hereby\s+given|annual\s+general\s+meeting|\b(?:board'?s?|directors?'?)\s+report|independent\s+auditor|balance\s+sheet\s+as\s+at|"
     r"statement\s+of\s+profit\s+and\s+loss|notes\s+to\s+the\s+(?:standalone\s+|consolidated\s+)?financial\s+statements|cash\s+flow\s+statement|corporate\s+governance\s+report"
 )
+# Lines that only furnish a page, and a page number beside a bar.
+FURNITURE = (r"(?i)^(MONTHS)\s+\d{1,2},?\s+\d{4}$", r"(?i)^.+\b(Limited|Ltd\.?|Inc\.?|Corp\.?|Pvt\.?)$", r"(?i)^Page\s+\d+\s+of\s+\d+$")
+PAGE_BAR = r"^\d+\s*\|$|^\|\s*\d+$"
+# Bounds of the classifier.
 MAX_PAGES = 70
 DENSE, NO_TEXT = 1500, 400
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -145,7 +149,8 @@ def file_verdict(size: Column, magic: Column, pages: Column, text: Column, min_p
 
 def is_page_furniture(line: Column) -> Column:
     """Whether a line is only a date, a company name or a page number."""
-    return line.rlike(rf"(?i)^({MONTHS})\s+\d{{1,2}},?\s+\d{{4}}$") | line.rlike(r"(?i)^.+\b(Limited|Ltd\.?|Inc\.?|Corp\.?|Pvt\.?)$") | line.rlike(r"(?i)^Page\s+\d+\s+of\s+\d+$")
+    day, company, number = FURNITURE
+    return line.rlike(day.replace("MONTHS", MONTHS)) | line.rlike(company) | line.rlike(number)
 
 
 def strip_page(page: Column) -> Column:
@@ -159,7 +164,7 @@ def strip_page(page: Column) -> Column:
     content = F.transform(trimmed, lambda x: (x != "") & ~is_page_furniture(x))
     first = F.array_position(content, True)
     last_line = n - F.array_position(F.reverse(F.transform(trimmed, lambda x: x != "")), True) + 1
-    below = F.transform(trimmed, lambda x, i: (x != "") & ~is_page_furniture(x) & ~((i + 1 == last_line) & x.rlike(r"^\d+\s*\|$|^\|\s*\d+$")))
+    below = F.transform(trimmed, lambda x, i: (x != "") & ~is_page_furniture(x) & ~((i + 1 == last_line) & x.rlike(PAGE_BAR)))
     last = n - F.array_position(F.reverse(below), True) + 1
     empty = ~F.exists(below, lambda c: c)
     return F.when(page.isNotNull(), F.when(empty | (last < first), F.lit("")).otherwise(F.array_join(F.slice(lines, F.greatest(first, F.lit(1)), F.greatest(last - first + 1, F.lit(0))), "\n")))
@@ -168,14 +173,20 @@ def strip_page(page: Column) -> Column:
 # --- page fields ----------------------------------------------------------------------------------
 
 
+# How a company page marks its market cap and name, how texts write addresses.
+MARKET_CAP = r'(?s)Market Cap.*?<span[^>]*class="number"[^>]*>\s*([\d,]+(?:\.\d+)?)\s*</span>'
+PAGE_NAME = r"<h1[^>]*>\s*([^<]+?)\s*</h1>"
+ADDRESS = r"""(https?://[^\s\]\)>"']+)"""
+
+
 def market_cap(html: Column) -> Column:
     """Market cap of a company page, digits grouped the Indian way."""
-    x = F.regexp_extract(html, r'(?s)Market Cap.*?<span[^>]*class="number"[^>]*>\s*([\d,]+(?:\.\d+)?)\s*</span>', 1)
+    x = F.regexp_extract(html, MARKET_CAP, 1)
     return F.replace(F.nullif(x, F.lit("")), F.lit(","), F.lit("")).try_cast("double")
 
 
 def page_name(html: Column) -> Column:
-    return F.nullif(F.regexp_extract(html, r"<h1[^>]*>\s*([^<]+?)\s*</h1>", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(html, PAGE_NAME, 1), F.lit(""))
 
 
 def unescape(text: Column) -> Column:
@@ -193,7 +204,7 @@ def sector_industry(html: Column) -> Column:
 
 def urls(text: Column) -> Column:
     """Distinct addresses in a text in the order of their first mention, closing punctuation dropped."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"""(https?://[^\s\]\)>"']+)"""), F.lit(1)), lambda u: F.regexp_replace(u, r"[.,;)]+$", "")))
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(ADDRESS), F.lit(1)), lambda u: F.regexp_replace(u, r"[.,;)]+$", "")))
 
 
 def first_pdf_link(html: Column, base: Column) -> Column:

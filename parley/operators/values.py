@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER = r"\d+(?:\.\d+)?"
+# The profit and loss metrics.
+CREDIBLE = ("revenue_absolute", "revenue_growth_pct", "ebitda_margin_pct", "pat_absolute", "pat_growth_pct", "pbt_margin_pct", "eps_absolute")
 #: Rupee crores above which a growth target is taken for a misreading.
 ABSURD_CRORE = 500_000
+# Signs and words of approximation before a value.
+APPROXIMATE = r"(?i)^[~<>≈≤≥]+\s*|^(approximately|around|about|circa|nearly|roughly)\s+"
 # Number words of time horizons.
 NUMBER_WORDS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
 
@@ -164,7 +168,7 @@ def clean_value(value: Column) -> Column:
     """A number or range without approximation words, ' to ' and a closing percent sign; null if none is left."""
     ok = rf"^{NUMBER}(?:-{NUMBER})?$"
     v = F.trim(value)
-    w = F.trim(F.regexp_replace(v, r"(?i)^[~<>≈≤≥]+\s*|^(approximately|around|about|circa|nearly|roughly)\s+", ""))
+    w = F.trim(F.regexp_replace(v, APPROXIMATE, ""))
     w = F.trim(F.rtrim(F.regexp_replace(w, r"(?i)\s+to\s+", "-"), F.lit("%")))
     return F.when(v.rlike(ok), v).when(w.rlike(ok), w)
 
@@ -177,7 +181,7 @@ def within(truth: Column, found: Column, tolerance: float) -> Column:
 
 def credible_metric(metric: Column) -> Column:
     """Whether a metric counts for credibility: one of the profit and loss metrics, by name alone."""
-    return ~metric.startswith("other_") & metric.isin("revenue_absolute", "revenue_growth_pct", "ebitda_margin_pct", "pat_absolute", "pat_growth_pct", "pbt_margin_pct", "eps_absolute")
+    return ~metric.startswith("other_") & metric.isin(*CREDIBLE)
 
 
 def credible_item(metric: Column, level: Column, horizon: Column) -> Column:

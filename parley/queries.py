@@ -160,6 +160,27 @@ def stripped_pages(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", text.strip_page(page).alias("stripped"))
 
 
+def _document_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs of the documents as pages; every seventh is an empty page."""
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n\n")).alias("p", "text"))
+    return t.select("doc", (F.col("p") + 1).alias("page_no"), F.when((F.col("p") + 1) % 7 != 0, F.col("text")).alias("text"))
+
+
+def joined_pages(spark: SparkSession, d: str) -> DataFrame:
+    return scans.whole_text(_document_pages(spark, d))
+
+
+def first_pages(spark: SparkSession, d: str) -> DataFrame:
+    return scans.first_text(_document_pages(spark, d), 2)
+
+
+def roster_members(spark: SparkSession, d: str) -> DataFrame:
+    """Which labels of a call name somebody of its management."""
+    names = table(spark, d, "participants").where("role = 'management'").groupBy(F.col("call_id").alias("c")).agg(F.array_sort(F.collect_set("name")).alias("names"))
+    labels = table(spark, d, "turns").where("speaker is not null").select("call_id", "speaker").distinct()
+    return labels.join(names, F.col("call_id") == F.col("c")).select("call_id", "speaker", segment.in_roster(F.col("speaker"), F.col("names")).alias("management"))
+
+
 def validation(spark: SparkSession, d: str) -> DataFrame:
     return _checked(spark, d).select("ord", "rule", "clean_value", "clean_timeline", "found_verbatim")
 

@@ -161,7 +161,10 @@ def cached_pages(spark: SparkSession, path: str, least: int = 500) -> DataFrame:
 
 # --- pages of companies ---------------------------------------------------------------------------
 
+# How a company page marks its calls.
 _LI = r'(?s)<li class="flex flex-gap-8[^"]*">(.*?)</li>'
+_CALL_MONTH = r">\s*(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+(20\d\d)\s*<"
+_CALL_LINK = r'(?s)<a[^>]*href="([^"]+)"[^>]*>\s*Transcript\s*</a>'
 _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
@@ -170,11 +173,11 @@ def calls(pages: DataFrame) -> DataFrame:
     at = F.instr("html", ">Concalls<")
     part = F.when(at > 0, F.substring(F.col("html"), at, F.lit(25_000)))
     rows = pages.select("key", F.posexplode(F.regexp_extract_all(part, F.lit(_LI), F.lit(1))).alias("ord", "li"))
-    day = r">\s*(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+(20\d\d)\s*<"
+    day = _CALL_MONTH
     month = F.array_position(F.array(*map(F.lit, _MONTHS)), F.regexp_extract("li", day, 1)).cast("int")
     rows = rows.withColumns({"m": month, "y": F.regexp_extract("li", day, 2).try_cast("int")}).where("y is not null")
     q = fiscal.reported_quarter(F.make_date("y", "m", F.lit(1)))
-    link = F.regexp_extract("li", r'(?s)<a[^>]*href="([^"]+)"[^>]*>\s*Transcript\s*</a>', 1)
+    link = F.regexp_extract("li", _CALL_LINK, 1)
     return rows.select("key", "ord", F.format_string("%04d-%02d", "y", "m").alias("date"), q["fy"].alias("fy"), q["quarter"].alias("quarter"), F.nullif(link, F.lit("")).alias("transcript_url"))
 
 

@@ -328,6 +328,34 @@ SQL: dict[str, str] = {
     "filter_pass_rate": rf"select coalesce(chunk_type, 'all') as chunk_type, count(*) as chunks, count_if({_PASSES})::bigint as passed, round(count_if({_PASSES}) / count(*), 6) as share from chunks group by rollup (chunk_type)",
     "document_verdicts": rf"with {_VERDICT} select doc_id, pages, verdict, file_verdict from dx",
     "verdict_tally": rf"with {_VERDICT} select file_verdict, count(*) as documents from dx group by file_verdict",
+    "stripped_pages": r"""
+        with p as (select doc_id, concat_ws(chr(10), '', 'Asha Works Limited', 'May 5, 2025', text, 'Page 3 of 9', '  ' || doc_id || ' |') as page from documents),
+        l as (select doc_id, string_split(page, chr(10)) as lines, list_transform(string_split(page, chr(10)), lambda x: trim(x)) as t from p),
+        m as (
+            select *, len(t) as n, list_transform(t, lambda x: x <> '' and not (regexp_matches(x, '^(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d{4}$', 'i')
+                or regexp_matches(x, '^.+\b(Limited|Ltd\.?|Inc\.?|Corp\.?|Pvt\.?)$', 'i') or regexp_matches(x, '^Page\s+\d+\s+of\s+\d+$', 'i'))) as content, len(t) - coalesce(list_position(list_reverse(list_transform(t, lambda x: x <> '')), true), 0) + 1 as final from l
+        ), q as (select *, list_transform(content, lambda c, i: c and not (i = final and regexp_matches(t[i], '^\d+\s*\|$|^\|\s*\d+$'))) as below from m),
+        r as (select *, coalesce(list_position(content, true), 0) as a, n - coalesce(list_position(list_reverse(below), true), 0) + 1 as b from q)
+        select doc_id, case when not list_bool_or(below) or b < a then '' else array_to_string(lines[greatest(a, 1):b], chr(10)) end as stripped from r
+    """,
+    "speaker_label_parts": r"""
+        with c as (select chunk_key, text, regexp_replace(text, '(?:Moderator|Management|Analyst) \(([^)]*)\):', '\1:', 'g') as t from chunks),
+        p as (select *, list_filter(list_transform(string_split_regex(t, '(?:^|\n)\s*[A-Z][A-Za-z.]*(?: [A-Z][A-Za-z.]*){0,3}\s*:\s*'), lambda x: trim(x)), lambda x: x <> '') as parts from c)
+        select chunk_key, len(parts)::int as n_parts, length(array_to_string(parts, '|'))::int as length, trim(regexp_replace(replace(text, chr(10), ' '), ' {2,}', ' ', 'g')) as flat from p
+    """,
+    "joined_pages": r"""
+        with p as (select doc_id as doc, unnest(string_split(text, chr(10) || chr(10))) as text, generate_subscripts(string_split(text, chr(10) || chr(10)), 1) as page_no from documents),
+        q as (select doc, page_no, case when page_no % 7 <> 0 then text end as text from p)
+        select doc, coalesce(string_agg('[Page ' || page_no || ']' || chr(10) || text, chr(10) || chr(10) order by page_no) filter (coalesce(text, '') <> ''), '') as text from q group by doc
+    """,
+    "first_pages": r"""
+        with p as (select doc_id as doc, unnest(string_split(text, chr(10) || chr(10))) as text, generate_subscripts(string_split(text, chr(10) || chr(10)), 1) as page_no from documents)
+        select doc, lower(string_agg(text, chr(10) order by page_no) filter (page_no <= 2)) as text, max(page_no)::int as pages from p group by doc
+    """,
+    "roster_members": r"""
+        with n as (select call_id, list(distinct name) as names from participants where role = 'management' group by call_id), l as (select distinct call_id, speaker from turns where speaker is not null)
+        select call_id, speaker, list_contains(names, speaker) or (not contains(trim(speaker), ' ') and length(trim(speaker)) >= 4 and list_bool_or(list_transform(names, lambda x: lower(string_split(x, ' ')[-1]) = lower(trim(speaker))))) as management from l join n using (call_id)
+    """,
     "validation": rf"with {_CHECKED} select ord, rule, clean_value, normal as clean_timeline, found_verbatim from ck",
     "rejection_log": rf"""
         with {_CHECKED} select ord, rule, case rule when 'rule1' then 'null_value_non_binary_metric' when 'rule2' then 'malformed_guidance_value' else 'past_timeline: ' || normal || ' ended ' || ends::varchar || ' before ' || start::varchar end as reason,
