@@ -84,3 +84,19 @@ def _fold_table() -> dict[int, str | None]:
 def fold(text: str) -> str:
     """Every look-alike letter as its Latin twin, other forms normalised: for reading a text, not for showing it."""
     return text if text.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_fold_table()))
+
+
+def fold_sql(column: str) -> str:
+    """The SQL (DuckDB) of `fold` for a column."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    single = {chr(k): v for k, v in plain_characters().items() if v is not None and len(v) == 1}
+    single |= {k: v for pairs in TO_LATIN.values() for k, v in pairs.items()}
+    several = {chr(k): v for k, v in plain_characters().items() if v is not None and len(v) > 1 and k < 0x10000}
+    # letters with an accent of their own whose base has a Latin twin
+    composed = {c: unicodedata.normalize("NFC", single[d[0]] + d[1:]) for c in map(chr, (*range(0x370, 0x530), *range(0x1F00, 0x2000))) if len(d := unicodedata.normalize("NFD", c)) > 1 and d[0] in single}
+    single |= {k: v for k, v in composed.items() if len(v) == 1}
+    out = f"regexp_replace({column}, '[\\p{{Cf}}\\x{{034F}}\\x{{115F}}\\x{{1160}}\\x{{3164}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g')"
+    for k, v in several.items():
+        if 0xFB00 <= ord(k) <= 0xFB06:
+            out = f"replace({out}, {quoted(k)}, {quoted(v)})"
+    return f"nfc_normalize(translate({out}, {quoted(''.join(single))}, {quoted(''.join(single.values()))}))"

@@ -1,5 +1,6 @@
 """SQL (DuckDB) for the core queries that SQL can express, by the name of the query."""
 
+from .functions.glyphs import fold_sql
 from .operators.fiscal import USDINR
 
 _TL = r"""
@@ -270,7 +271,41 @@ _IMPLIED = rf"""
         select *, case when m in ('none', '') then 'none' when reason is not null then 'unparseable' when percent or times then 'ok' else 'needs_base' end as status, case when percent then v_lo / 100 when times then pow(v_lo, 1.0 / years_hi) - 1 end as low, case when percent then v_hi / 100 when times then pow(v_hi, 1.0 / years_lo) - 1 end as high from g4
     )"""
 
+_NP = lambda x: rf"regexp_replace(replace(string_split({x}, '.')[1], ',', ''), '(\d)', '\1,?', 'g') || case when contains({x}, '.') then '[.]' || string_split({x}, '.')[2] else '' end"
+_CUR = r"(us[$]|usd|[$]|₹|rs[.]?|inr)?"
+_TAIL = (
+    r"\s*(%age|% ?p[.]a[.]|%|per ?cent|pct|bps|bp\b|basis points?|(?:lakh|lac|million|mn|thousand)\s*(?:metric )?(?:tons?|tonnes?|mt)(?:\s*(?:a year|per annum|p[.]a[.]))?|crores?|crs?\b[.]?|lakhs?|lacs?|million|mn|mio|billion|bn|"
+    r"(?:metric )?(?:tons?|tonnes?|mt)\b(?:\s*(?:per month|/month|monthly|per annum|/year|p[.]a[.]))?|ktpa|tpa|tpm|kt\b|quintals?|qtl|rupees a kilo|(?:₹|rs|inr)\s*(?:/|per)\s*(?:kg|mt|tonne|ton)|per ton|months?|mths?|quarters?|qtrs?|years?|yrs?|mw\b|megawatt|gw\b|times|x\b)"
+)
+_P3 = rf"""
+    f as (
+        select guidance_id, upper(trim(quarter)) as q, replace(lower({fold_sql('guidance_value')}), '''000', ' thousand ') as v, replace(lower(trim({fold_sql("coalesce(guidance_unit, '')")})), '''000', 'thousand') as u0, upper(trim(coalesce(currency, ''))) as c0,
+            replace(lower({fold_sql("coalesce(passage, '')")}), '''000', ' thousand ') as p from guidance_items where guidance_value is not null
+    ), g as (select *, regexp_extract_all(v, '\d[\d,]*(?:[.]\d+)?') as nums from f),
+    h as (select *, case when len(nums) > 1 then 2 else 1 end as k, trim(regexp_replace(regexp_replace(v, '\d[\d,]*(?:[.]\d+)?', ' ', 'g'), '[<>=~+–-]|\b(?:to|up|approx)\b[.]?', ' ', 'g')) as w from g where len(nums) > 0),
+    i as (
+        select *, case when k = 1 then '(?:^|[^\d.,a-z])' || '{_CUR}' || '\s*' || {_NP('nums[1]')} || '{_TAIL}'
+            else '(?:^|[^\d.,a-z])' || '{_CUR}' || '\s*' || {_NP('nums[1]')} || '[^\d]{{0,20}}?(?:-|–|\bto\b)[^\d]{{0,8}}' || {_NP('nums[2]')} || '{_TAIL}' end as rx from h
+    ), j as (select *, regexp_extract(p, rx, 1) as pc, regexp_extract(p, rx, 2) as pu from i),
+    k as (select *, case when w <> '' then w when u0 not in ('', 'n/a', '-') then u0 else pc || ' ' || pu end as t from j),
+    l as (
+        select *, regexp_matches(t, '(?:/|per|\ba)\s*(?:mt|tonne|ton|kg|kilo)\b') as price, regexp_matches(t, '\b(?:tons?|tonnes?|mt|kt|ktpa|tpa|tpm|quintals?|qtl)\b') as mass, regexp_matches(t, 'month|tpm') as monthly, regexp_matches(t, 'annum|year|tpa|p[.]a') as yearly,
+            regexp_matches(t, '%|per ?cent|pct') as pct, regexp_matches(t, '\bbps?\b|basis') as bp, regexp_matches(t, '\b(?:crores?|crs?)\b') as cr, regexp_matches(t, '\b(?:lakhs?|lacs?)\b') as lk, regexp_matches(t, '\b(?:million|mn|mio)\b') as mn, regexp_matches(t, '\b(?:billion|bn)\b') as bn,
+            regexp_matches(t, '\bthousand\b') as th from k
+    ), m as (
+        select *, case when pct or bp then 'bps' when price then 'inr_per_tonne' when mass and (monthly or yearly) then 'kg_per_year' when mass then 'kg' when regexp_matches(t, '\b(?:months?|mths?|quarters?|qtrs?|years?|yrs?)\b') then 'months' when regexp_matches(t, '\b(?:mw|gw|megawatt)\b') then 'kw'
+                when cr or lk or mn or bn then 'inr' end as common_unit from l
+    ), n as (
+        select *, case common_unit when 'bps' then case when bp then 1 else 100 end when 'inr_per_tonne' then case when regexp_matches(t, '\b(?:kg|kilo)\b') then 1000 else 1 end
+                when 'months' then case when regexp_matches(t, 'month|mth') then 1 when regexp_matches(t, 'quarter|qtr') then 3 else 12 end when 'kw' then case when regexp_matches(t, '\bgw\b') then 1000000 else 1000 end
+                when 'inr' then case when cr then 10000000 when lk then 100000 when mn then 1000000 else 1000000000 end
+                else case when lk then 100000 when mn then 1000000 when th then 1000 else 1 end * case when regexp_matches(t, '\b(?:kt|ktpa)\b') then 1000000 when regexp_matches(t, 'quintal|qtl') then 100 else 1000 end * case when common_unit = 'kg_per_year' and monthly then 12 else 1 end end::double as factor,
+            case when common_unit <> 'inr' or cr or lk then 'INR' when regexp_matches(t, 'usd|[$]') then 'USD' when regexp_matches(t, 'inr|rs|₹') then 'INR' when c0 in ('USD', 'US$', '$') then 'USD' when c0 <> '' then 'INR' when regexp_matches(pc, 'usd|[$]') then 'USD' else 'INR' end as cur from m where common_unit is not null
+    ), o as (select n.*, case when cur = 'INR' then 1 else x.inr_per_unit end::double as fx, replace(nums[1], ',', '')::decimal(14, 4)::double as n1, replace(nums[k], ',', '')::decimal(14, 4)::double as n2 from n left join fx_rates x on x.currency = cur and upper(trim(x.quarter)) = q)
+"""
+
 SQL: dict[str, str] = {
+    "p3_found": rf"with {_P3} select guidance_id, common_unit, round(least(n1, n2) * factor * fx)::bigint as lo, round(greatest(n1, n2) * factor * fx)::bigint as hi from o",
     "fiscal_fields": rf"""
         with {_TL}, f as (
             select *, try_cast(nullif(regexp_extract(quarter, 'FY\s*(\d{{2,4}})', 1, 'i'), '') as int) as y0, try_cast(nullif(regexp_extract(quarter, 'Q\s*([1-4])\s*FY\s*''?(\d{{2,4}})', 1, 'i'), '') as int) as q0,
