@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,22 +85,6 @@ QUERIES = {
     for f in (p1_found, p1_turns, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_forms, p6_pack, p7_mix, p7_shares, p8_found, p8_segments)
 }
 
-def _look_sql(column: str) -> str:
-    """A column with look-alike letters as Latin ones and other forms normalised, character by character."""
-    quoted = lambda t: "'" + t.replace("'", "''") + "'"
-    single = {chr(k): v for k, v in glyphs.plain_characters().items() if v is not None and len(v) == 1}
-    single |= {k: v for pairs in glyphs.TO_LATIN.values() for k, v in pairs.items()}
-    several = {chr(k): v for k, v in glyphs.plain_characters().items() if v is not None and len(v) > 1 and k < 0x10000}
-    # letters with an accent of their own whose base has a Latin twin
-    composed = {c: unicodedata.normalize("NFC", single[d[0]] + d[1:]) for c in map(chr, (*range(0x370, 0x530), *range(0x1F00, 0x2000))) if len(d := unicodedata.normalize("NFD", c)) > 1 and d[0] in single}
-    single |= {k: v for k, v in composed.items() if len(v) == 1}
-    out = f"regexp_replace({column}, '[\\p{{Cf}}\\x{{034F}}\\x{{115F}}\\x{{1160}}\\x{{3164}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g')"
-    for k, v in several.items():
-        if 0xFB00 <= ord(k) <= 0xFB06:
-            out = f"replace({out}, {quoted(k)}, {quoted(v)})"
-    return f"nfc_normalize(translate({out}, {quoted(''.join(single))}, {quoted(''.join(single.values()))}))"
-
-
 SQL = {
     "p2_found": r"""
         with recursive w as (select item_id, unnest(regexp_extract_all(lower(coalesce(passage, '') || ' ' || coalesce(metric_description, '')), '[a-z0-9]+')) as w from raw_items),
@@ -113,7 +95,7 @@ SQL = {
         select a as item_a, b as item_b from r where a < b
     """,
     "p5_found": f"""
-        with f as (select guidance_id, passage, {_look_sql('passage')} as look from guidance_items where passage is not null)
+        with f as (select guidance_id, passage, {glyphs.fold_sql('passage')} as look from guidance_items where passage is not null)
         select a.guidance_id as guidance_a, b.guidance_id as guidance_b from f a join f b on a.look = b.look and a.passage <> b.passage and a.guidance_id < b.guidance_id
     """,
     "p4_found": r"""
