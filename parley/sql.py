@@ -305,6 +305,7 @@ _P3 = rf"""
 """
 
 SQL: dict[str, str] = {
+    "p3_quantities": rf"with {_P3} select guidance_id, common_unit, round(least(n1, n2) * factor * fx)::bigint as lo, round(greatest(n1, n2) * factor * fx)::bigint as hi, cur as currency from o",
     "p3_found": rf"with {_P3} select guidance_id, common_unit, round(least(n1, n2) * factor * fx)::bigint as lo, round(greatest(n1, n2) * factor * fx)::bigint as hi from o",
     "fiscal_fields": rf"""
         with {_TL}, f as (
