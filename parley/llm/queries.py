@@ -85,14 +85,20 @@ QUERIES = {
     for f in (p1_found, p1_turns, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_forms, p6_pack, p7_mix, p7_shares, p8_found, p8_segments)
 }
 
-SQL = {
-    "p2_found": r"""
-        with recursive w as (select item_id, unnest(regexp_extract_all(lower(coalesce(passage, '') || ' ' || coalesce(metric_description, '')), '[a-z0-9]+')) as w from raw_items),
+_ALIKE = r"""
+        w as (select item_id, unnest(regexp_extract_all(lower(coalesce(passage, '') || ' ' || coalesce(metric_description, '')), '[a-z0-9]+')) as w from raw_items),
         t as (select item_id, w, row_number() over (partition by item_id, w) as k from w), n as (select item_id, count(*) as n from t group by item_id),
         o as (select a.item_id as a, b.item_id as b, count(*) as s from t a join t b on a.w = b.w and a.k = b.k and a.item_id < b.item_id group by all),
         l as (select a, b from o join n x on a = x.item_id join n y on b = y.item_id where s >= 0.75 * (x.n + y.n - s)), e as (select a, b from l union all select b, a from l),
         r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
-        select a as item_a, b as item_b from r where a < b
+"""
+SQL = {
+    "p2_found": f"with recursive {_ALIKE} select a as item_a, b as item_b from r where a < b",
+    "p2_groups": f"""
+        with recursive {_ALIKE}, g as (select item_id, array_to_string(list_sort(regexp_extract_all(lower(coalesce(passage, '') || ' ' || coalesce(metric_description, '')), '[a-z0-9]+')), ' ') as bag from raw_items),
+        c as (select item_id, least(item_id, coalesce(min(b), item_id)) as class_id from raw_items left join r on a = item_id group by item_id),
+        d as (select e.a, count(distinct y.bag) filter (y.bag <> x.bag) as n from e join g x on x.item_id = e.a join g y on y.item_id = e.b group by e.a)
+        select item_id, class_id, coalesce(n, 0) as links from c left join d on d.a = item_id
     """,
     "p5_found": f"""
         with f as (select guidance_id, passage, {glyphs.fold_sql('passage')} as look from guidance_items where passage is not null)
