@@ -290,7 +290,7 @@ def tag_agreement(spark: SparkSession, d: str) -> DataFrame:
 
 def best_matches(spark: SparkSession, d: str) -> DataFrame:
     r, f = _eval_sides(spark, d)
-    side = lambda t: t.where("metric = 'capex_absolute'").select(F.concat_ws("/", "doc", "timeline").alias("doc"), "ord", F.col("passage").alias("text"), text.without_labels(F.col("passage")).alias("bare"))
+    side = lambda t: t.select("doc", "ord", F.col("passage").alias("text"), text.without_labels(F.col("passage")).alias("bare"))
     return match.best_match(side(r), side(f))
 
 
