@@ -42,8 +42,8 @@ def fold_groups(rows: DataFrame, keys: list[str], columns: list[str], fold: Call
     """(keys, out): the tuples that fold(items) yields for each group, its items in the order of `columns`.
 
     A group is one row with an array, so many small groups share a batch on their way
-    to Python. For groups that are small by nature: the items of a chunk, or of a
-    document's metric and timeline.
+    to Python. For groups that are small by nature: the items of a chunk, of a
+    document, or of its metric and timeline.
     """
     packed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("__items"))
     kinds = dict(packed.dtypes)

@@ -267,8 +267,7 @@ def greedy_match(spark: SparkSession, d: str) -> DataFrame:
 
 def two_pass_match(spark: SparkSession, d: str) -> DataFrame:
     r, f = _eval_sides(spark, d)
-    block = lambda t: t.withColumn("doc", F.concat_ws("/", "doc", "metric", "timeline"))
-    return match.two_pass_pairs(block(r), block(f))
+    return match.two_pass_pairs(r, f)
 
 
 def precision_recall(spark: SparkSession, d: str) -> DataFrame:

@@ -27,3 +27,9 @@ def test_best_match_under_another_metric_and_timeline(spark, tables):
     said = "The plant in the north will be commissioned by the end of the year"
     d = tables(guidance_items=guidance((1, 2, "revenue_growth_pct", "FY27", "5", said), (1, 3, "commissioning_event", "FY28", None, said + " as planned"), (2, 5, "revenue_growth_pct", "FY27", "5", said)))
     assert [tuple(r)[:4] for r in QUERIES["best_matches"](spark, d).collect()] == [(1, 2, 3, "contained")]
+
+
+def test_two_passes_over_a_whole_call(spark, tables):
+    said = "The plant in the north will be commissioned by the end of the year"
+    d = tables(guidance_items=guidance((1, 2, "m", "FY27", "10", "alpha"), (1, 3, "m", "FY26-FY27", "10.5", "beta"), (1, 4, "k", "FY28", "7", said), (1, 5, "z", "soon", None, said + " now"), (2, 7, "m", "FY27", "10", "alpha")))
+    assert sorted(tuple(r) for r in QUERIES["two_pass_match"](spark, d).collect()) == [(1, 2, 3, "strict"), (1, 4, 5, "soft")]
