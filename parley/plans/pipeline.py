@@ -29,7 +29,8 @@ def staged(pages: DataFrame, calls: DataFrame, extractor: Extractor = rule_extra
     """Segment, filter, extract twice and merge, classify, validate, drop repeats.
 
     pages: doc, page_no, text; calls: doc, call_date. Documents without a call date
-    have no items, those without text no rows anywhere.
+    have no items, those without text no rows anywhere. Items tell by found_verbatim
+    whether their passage stands in the text of the document's pages.
     """
     stages: dict[str, Observation] = {}
 
@@ -43,9 +44,10 @@ def staged(pages: DataFrame, calls: DataFrame, extractor: Extractor = rule_extra
         "doc", (F.col("chunk_no") * 1_000_000 + F.col("ord")).alias("ord"), F.format_string("chunk_%03d", "chunk_no").alias("chunk_id"), classify_metric(F.col("metric_description"), F.col("guidance_unit")).alias("metric"),
         F.col("guidance_value").alias("value"), F.col("guidance_unit").alias("unit"), "timeline", "passage", F.lit(None).cast("int").alias("page"),
     )
-    checked = validate.apply_rules(items.join(calls.select("doc", "call_date"), "doc"))
+    said = segment.clean_pages(pages, 1).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("p")).select("doc", F.array_join("p.text", "\n").alias("transcript"))
+    checked = validate.apply_rules(items.join(calls.select("doc", "call_date"), "doc").join(said, "doc", "left"))
     once = validate.exact_repeats(checked)
     kept = validate.fuzzy_repeats(once).select(F.col("doc").alias("__d"), F.col("kept_as").alias("__o")).distinct()
     valid = once.where("kept").join(kept, F.col("doc").eqNullSafe(F.col("__d")) & (F.col("ord") == F.col("__o")), "left_semi")
-    out = valid.select("doc", "ord", "chunk_id", "metric", F.col("clean_value").alias("guidance_value"), F.col("unit").alias("guidance_unit"), F.col("clean_timeline").alias("timeline"), "passage", values.credible_metric(F.col("metric")).alias("credibility_scorable"))
+    out = valid.select("doc", "ord", "chunk_id", "metric", F.col("clean_value").alias("guidance_value"), F.col("unit").alias("guidance_unit"), F.col("clean_timeline").alias("timeline"), "passage", values.credible_metric(F.col("metric")).alias("credibility_scorable"), "found_verbatim")
     return Result(stage("valid", out), validate.rejections(checked), stages)

@@ -22,6 +22,12 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _chunks_once(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """(call_id, chunk_id, text, columns) of the first delivery of each chunk."""
+    c = table(spark, d, "chunks").groupBy("call_id", "chunk_id").agg(F.min_by(F.struct("text", *columns), "chunk_key").alias("c"))
+    return c.select("call_id", "chunk_id", "c.*")
+
+
 def _series(spark: SparkSession, d: str) -> DataFrame:
     """(company, fy, sales, net_profit): orders by fiscal year; sums are decimal, so their order doesn't matter."""
     o, l = table(spark, d, "orders"), table(spark, d, "lineitem")  # noqa: E741
@@ -188,7 +194,8 @@ def validation(spark: SparkSession, d: str) -> DataFrame:
 def _checked(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d).withColumns({"doc": F.col("call_id"), "chunk_id": F.lit("chunk")})
     calls = table(spark, d, "filings").groupBy("call_id").agg(F.min("call_date").alias("call_date"))
-    said = table(spark, d, "chunks").select("chunk_key", "call_id", "text").groupBy("call_id").agg(F.min_by("text", "chunk_key").alias("transcript"))
+    chunks = _chunks_once(spark, d, "char_start").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("char_start", "chunk_id", "text"))).alias("c"))
+    said = chunks.select("call_id", F.array_join("c.text", "\n").alias("transcript"))
     return validate.apply_rules(items.join(calls, "call_id").join(said, "call_id", "left"))
 
 

@@ -4,9 +4,12 @@ import datetime
 
 import pytest
 
+from parley.plans.pipeline import staged
 from parley.queries import QUERIES
 
 GUIDANCE = "call_id bigint, guidance_id bigint, metric string, timeline string, guidance_value string, passage string, horizon string, level string, track string, credibility_scorable boolean"
+CHUNKS = "chunk_key bigint, call_id bigint, chunk_id string, char_start int, text string"
+ITEMS = "scrip string, guidance_id bigint, metric string, guidance_value string, guidance_unit string, currency string, timeline string, level string, horizon string, page_number int, passage string, call_id bigint"
 
 
 @pytest.fixture
@@ -33,3 +36,20 @@ def test_two_passes_over_a_whole_call(spark, tables):
     said = "The plant in the north will be commissioned by the end of the year"
     d = tables(guidance_items=guidance((1, 2, "m", "FY27", "10", "alpha"), (1, 3, "m", "FY26-FY27", "10.5", "beta"), (1, 4, "k", "FY28", "7", said), (1, 5, "z", "soon", None, said + " now"), (2, 7, "m", "FY27", "10", "alpha")))
     assert sorted(tuple(r) for r in QUERIES["two_pass_match"](spark, d).collect()) == [(1, 2, 3, "strict"), (1, 4, 5, "soft")]
+
+
+def test_passages_are_looked_up_in_the_whole_transcript(spark, tables):
+    item = lambda n, passage, call: ("s", n, "m", "5", "%", None, "FY27", "company", "near", 1, passage, call)
+    d = tables(
+        filings=([(1, datetime.date(2026, 5, 15)), (2, datetime.date(2026, 5, 15))], "call_id bigint, call_date date"),
+        chunks=([(9, 1, "chunk_001", 0, "We begin."), (3, 1, "chunk_002", 10, "Sales will  grow"), (4, 1, "chunk_003", 30, "by a fifth.\nThank you."), (5, 1, "chunk_002", 10, "Sales will  grow")], CHUNKS),
+        guidance_items=([item(1, "We begin.", 1), item(2, "Sales will grow", 1), item(3, "will grow by a fifth. Thank you.", 1), item(4, "nobody said so", 1), item(5, "We begin.", 2)], ITEMS),
+    )
+    assert {r["ord"]: r["found_verbatim"] for r in QUERIES["validation"](spark, d).collect()} == {1: True, 2: True, 3: True, 4: False, 5: None}
+
+
+def test_the_pipeline_looks_passages_up(spark):
+    pages = spark.createDataFrame([(1, 3, "Welcome. We will grow revenue by 18 to 20%"), (1, 4, "in FY27. Thank you.")], "doc int, page_no int, text string")
+    calls = spark.createDataFrame([(1, datetime.date(2026, 5, 15))], "doc int, call_date date")
+    passages = lambda texts, run: [[{"passage": p, "metric_description": "revenue growth", "guidance_value": v, "guidance_unit": "%", "timeline": "FY27"} for p, v in (("We will grow revenue by 18 to 20%", "18-20"), ("made up", "7"))] for _ in texts]
+    assert {(r["passage"], r["found_verbatim"]) for r in staged(pages, calls, passages).items.collect()} == {("We will grow revenue by 18 to 20%", True), ("made up", False)}
