@@ -163,21 +163,30 @@ def divergence(passage: Column, text: Column, anchor: int = 5, shown: int = 15)
     expected and found: the words from there on. A diagnostic for small results.
     """
 
-    def words(t: str | None) -> list[str]:
-        return (t or "").split()
-
-    def key(w: str) -> str:
-        return w.translate(str.maketrans("‘’“”–—", "''\"\"--")).replace("…", "...").lower()
+    plain = str.maketrans({**dict(zip("‘’“”–—", "''\"\"--")), "…": "..."})
+
+    def keys(t: str | None) -> list[str]:
+        return (t or "").translate(plain).lower().split()
+
+    def first_run(a: list[str], b: list[str]) -> int | None:
+        """Where all of a begins in b."""
+        i = -1
+        try:
+            while a:
+                i = b.index(a[0], i + 1)
+                if b[i : i + len(a)] == a:
+                    return i
+        except ValueError:
+            pass
+        return None
 
     def part(passage: str | None, text: str | None) -> tuple[int, str, str]:
-        a, b = words(passage), words(text)
-        ka, kb = [key(w) for w in a], [key(w) for w in b]
-        n = min(anchor, len(a))
-        start = next((i for i in range(len(b) - n + 1) if n and kb[i : i + n] == ka[:n]), None)
+        a, ka, kb = (passage or "").split(), keys(passage), keys(text)
+        start = first_run(ka[:anchor], kb)
         if start is None:
             return -1, " ".join(a[:shown]), ""
         at = next((j for j, w in enumerate(ka) if start + j >= len(kb) or kb[start + j] != w), len(a))
-        return at, " ".join(a[at : at + shown]), " ".join(b[start + at : start + at + shown])
+        return at, " ".join(a[at : at + shown]), " ".join((text or "").split()[start + at : start + at + shown])
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for x, y in batches:

@@ -554,9 +554,8 @@ def company_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def passage_divergence(spark: SparkSession, d: str) -> DataFrame:
-    """Where the passages of items part from the first chunk of their call."""
-    first = table(spark, d, "chunks").groupBy(F.col("call_id").alias("c")).agg(F.min_by("text", "chunk_key").alias("text"))
-    rows = table(spark, d, "raw_items").join(first, F.col("call_id") == F.col("c"), "left").select("item_id", match.divergence(F.col("passage"), F.col("text")).alias("x"))
+    """Where the passages of items part from the chunk they were taken from."""
+    rows = table(spark, d, "raw_items").join(_chunks_once(spark, d), ["call_id", "chunk_id"], "left").select("item_id", match.divergence(F.col("passage"), F.col("text")).alias("x"))
     return rows.select("item_id", "x.at", "x.expected", "x.found")
 
 

@@ -53,3 +53,11 @@ def test_the_pipeline_looks_passages_up(spark):
     calls = spark.createDataFrame([(1, datetime.date(2026, 5, 15))], "doc int, call_date date")
     passages = lambda texts, run: [[{"passage": p, "metric_description": "revenue growth", "guidance_value": v, "guidance_unit": "%", "timeline": "FY27"} for p, v in (("We will grow revenue by 18 to 20%", "18-20"), ("made up", "7"))] for _ in texts]
     assert {(r["passage"], r["found_verbatim"]) for r in staged(pages, calls, passages).items.collect()} == {("We will grow revenue by 18 to 20%", True), ("made up", False)}
+
+
+def test_passages_part_from_their_own_chunk(spark, tables):
+    d = tables(
+        chunks=([(1, 1, "chunk_001", 0, "one two three four five six"), (3, 1, "chunk_002", 9, "we will grow sales by a fifth next year"), (2, 1, "chunk_002", 9, "we will grow sales by a third next year"), (4, 2, "chunk_002", 0, "other words")], CHUNKS),
+        raw_items=([(1, 1, "chunk_002", "will grow sales by a fifth next year"), (2, 1, "chunk_001", "one two three four five six"), (3, 1, "chunk_009", "one two three four five six")], "item_id bigint, call_id bigint, chunk_id string, passage string"),
+    )
+    assert sorted(tuple(r)[:2] for r in QUERIES["passage_divergence"](spark, d).collect()) == [(1, 5), (2, 6), (3, -1)]
