@@ -254,9 +254,12 @@ def chunk_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def item_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The first chunk of its call that holds all parts of a passage, each part whole; case, punctuation marks and white space don't count."""
     r = table(spark, d, "raw_items")
-    passages = r.select(F.col("call_id").alias("doc"), F.col("item_id").alias("ord"), F.array(F.substring_index(F.col("passage"), ". ", 1)).alias("parts"))
-    chunks = table(spark, d, "chunks").select(F.col("call_id").alias("doc"), F.col("chunk_key").alias("chunk_no"), "text")
+    part = lambda p: text.plain_punctuation(F.regexp_replace(p, r"^[…\s]+", ""), False)
+    parts = F.filter(F.transform(text.speaker_parts(F.col("passage")), part), lambda p: p != "")
+    passages = r.select(F.col("call_id").alias("doc"), F.col("item_id").alias("ord"), parts.alias("parts"))
+    chunks = table(spark, d, "chunks").select(F.col("call_id").alias("doc"), F.col("chunk_key").alias("chunk_no"), text.plain_punctuation(F.col("text"), False).alias("text"))
     return match.containing_chunk(passages, chunks).select("ord", "chunk_no")
 
 

@@ -61,3 +61,11 @@ def test_passages_part_from_their_own_chunk(spark, tables):
         raw_items=([(1, 1, "chunk_002", "will grow sales by a fifth next year"), (2, 1, "chunk_001", "one two three four five six"), (3, 1, "chunk_009", "one two three four five six")], "item_id bigint, call_id bigint, chunk_id string, passage string"),
     )
     assert sorted(tuple(r)[:2] for r in QUERIES["passage_divergence"](spark, d).collect()) == [(1, 5), (2, 6), (3, -1)]
+
+
+def test_the_whole_passage_stands_in_the_chunk(spark, tables):
+    d = tables(
+        chunks=([(1, 1, "chunk_001", 0, "We said so. Capex is Rs. 7 crore. Sales fall."), (2, 1, "chunk_002", 50, "We said so. Capex is  Rs. 9 crore – this year.\nWe’ll tell more.")], CHUNKS),
+        raw_items=([(1, 1, "We said so. Capex is Rs. 9 crore - this year."), (2, 1, "Capex is Rs. 8 crore."), (3, 1, "Ravi Mehta: Capex is Rs. 9 crore\nTara Iyer: …We'll tell more."), (4, 1, "sales fall.")], "item_id bigint, call_id bigint, passage string"),
+    )
+    assert sorted(tuple(r) for r in QUERIES["item_chunks"](spark, d).collect()) == [(1, 2), (2, None), (3, 2), (4, 1)]
