@@ -163,15 +163,16 @@ def cached_pages(spark: SparkSession, path: str, least: int = 500) -> DataFrame:
 
 # How a company page marks its calls.
 _LI = r'(?s)<li class="flex flex-gap-8[^"]*">(.*?)</li>'
+_HEADING = r"(?i)<h[1-6][\s>]"
 _CALL_MONTH = r">\s*(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+(20\d\d)\s*<"
 _CALL_LINK = r'(?s)<a[^>]*href="([^"]+)"[^>]*>\s*Transcript\s*</a>'
 _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
 def calls(pages: DataFrame) -> DataFrame:
-    """(key, ord, date, fy, quarter, transcript_url): the calls a company page lists; entries without a date are none."""
+    """(key, ord, date, fy, quarter, transcript_url): the calls a company page lists up to its next heading; entries without a date are none."""
     at = F.instr("html", ">Concalls<")
-    part = F.when(at > 0, F.substring(F.col("html"), at, F.lit(25_000)))
+    part = F.when(at > 0, F.split(F.substring(F.col("html"), at, F.length("html")), _HEADING, 2)[0])
     rows = pages.select("key", F.posexplode(F.regexp_extract_all(part, F.lit(_LI), F.lit(1))).alias("ord", "li"))
     day = _CALL_MONTH
     month = F.array_position(F.array(*map(F.lit, _MONTHS)), F.regexp_extract("li", day, 1)).cast("int")

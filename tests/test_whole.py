@@ -6,6 +6,7 @@ import pytest
 
 from parley.plans.pipeline import staged
 from parley.queries import QUERIES
+from parley.sources import scans
 
 GUIDANCE = "call_id bigint, guidance_id bigint, metric string, timeline string, guidance_value string, passage string, horizon string, level string, track string, credibility_scorable boolean"
 CHUNKS = "chunk_key bigint, call_id bigint, chunk_id string, char_start int, text string"
@@ -69,3 +70,10 @@ def test_the_whole_passage_stands_in_the_chunk(spark, tables):
         raw_items=([(1, 1, "We said so. Capex is Rs. 9 crore - this year."), (2, 1, "Capex is Rs. 8 crore."), (3, 1, "Ravi Mehta: Capex is Rs. 9 crore\nTara Iyer: …We'll tell more."), (4, 1, "sales fall.")], "item_id bigint, call_id bigint, passage string"),
     )
     assert sorted(tuple(r) for r in QUERIES["item_chunks"](spark, d).collect()) == [(1, 2), (2, None), (3, 2), (4, 1)]
+
+
+def test_all_calls_of_a_long_page(spark):
+    li = lambda year: f'<li class="flex flex-gap-8 x"><div> May {year} </div><a href="https://x.invalid/{year}"> Transcript </a></li>'
+    html = "<h2>Concalls</h2><ul>" + li(2024) * 300 + li(2025) + "</ul><h3 class='b'>Announcements</h3><ul>" + li(2026) + "</ul>"
+    got = scans.calls(spark.createDataFrame([("k", html), ("none", "<h2>Filings</h2>" + li(2024))], "key string, html string"))
+    assert got.count() == 301 and [tuple(r)[:3] for r in got.where("date >= '2025'").collect()] == [("k", 300, "2025-05")]
