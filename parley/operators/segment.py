@@ -156,8 +156,9 @@ def chunk_turns(turns: DataFrame, limit: int = OPENING_WORDS) -> DataFrame:
     """`turns` (doc, turn_no, speaker, role, text) with chunk_no, chunk_type and analyst_speaker.
 
     Opening: turns up to the first analyst, packed greedily up to `limit` words;
-    moderators wait for the next management turn. Then one chunk for each engagement of
-    `sessions`. Moderators that open a document without anything else have no chunk (null).
+    moderators wait for the next management turn, at the end of a call without analysts
+    they join the last chunk. Then one chunk for each engagement of `sessions`. Moderators
+    that open a document without anything else have no chunk (null).
     """
     parts = sessions(turns)
 
@@ -177,6 +178,8 @@ def chunk_turns(turns: DataFrame, limit: int = OPENING_WORDS) -> DataFrame:
                 words += k
                 out[t] = number
             waiting = []
+        if number:
+            out |= {t: number for t, _ in waiting}
         rows = [(g["doc"].iloc[0], t, out.get(t)) for t in g["turn_no"]]
         return pd.DataFrame(rows, columns=["doc", "turn_no", "opening_no"]).astype({"opening_no": "Int32"})
 

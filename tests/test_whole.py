@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from parley.operators import segment
 from parley.plans.pipeline import staged
 from parley.queries import QUERIES
 from parley.sources import scans
@@ -77,3 +78,9 @@ def test_all_calls_of_a_long_page(spark):
     html = "<h2>Concalls</h2><ul>" + li(2024) * 300 + li(2025) + "</ul><h3 class='b'>Announcements</h3><ul>" + li(2026) + "</ul>"
     got = scans.calls(spark.createDataFrame([("k", html), ("none", "<h2>Filings</h2>" + li(2024))], "key string, html string"))
     assert got.count() == 301 and [tuple(r)[:3] for r in got.where("date >= '2025'").collect()] == [("k", 300, "2025-05")]
+
+
+def test_closing_moderators_of_a_call_without_analysts(spark):
+    rows = [(1, 0, "Op", "moderator", "hello"), (1, 1, "M", "management", "we grew"), (1, 2, "Op", "moderator", "no questions"), (1, 3, "Op", "moderator", "goodbye"), (2, 0, "Op", "moderator", "alone")]
+    t = spark.createDataFrame(rows, "doc int, turn_no int, speaker string, role string, text string")
+    assert [(r["doc"], r["chunk_no"], r["n_turns"], "goodbye" in r["text"]) for r in segment.build_chunks(segment.chunk_turns(t)).collect()] == [(1, 1, 4, True)]
