@@ -1,30 +1,36 @@
 """Problem 2 - groups of records that differ by small edits.
 
-Method: BagMinHash. A record is a bag of words. Over the weight axis of each
-word lie Poisson processes on dyadic intervals [0,1), [1,2), [2,4), ... ; a word
-of weight w covers the intervals below w, and the one that holds w is split in
-halves again and again: the first arrival of a parent belongs to either half with
-equal chance, and the other half's first arrival follows it by an exponential
-delay. A register of the signature keeps the earliest arrival below the weight
-of any word of the bag. Two bags agree in a register with a probability equal to
-their weighted Jaccard similarity: an unbiased estimate.
-
-Signatures are cut into bands; records that agree in a whole band are candidates.
-Bits of the registers travel with a band, so most chance candidates fall inside
-the join. The rest is verified by the exact multiset overlap, and components of
-the verified links are the groups.
-
-Exact copies of a bag are first folded into one representative; only different
-bags are paired, and the copies get their class back at the end.
-
-Defined results: null in one text column counts as an empty text; a bag without
-words is alike to nothing and forms a class of its own with its exact copies.
-Rows with a null id are left out of pairs and classes. Repeated ids are rows of
-their own text.
+Method: BagMinHash. A record is a bag of words. The weight axis of each word is
+discretised into the dyadic intervals [0,1), [1,2), [2,4), ... ; on each lies a
+Poisson process whose points have a time, a register and a coordinate on the
+interval, halved down to the single weight. A word of weight w owns the points
+with a coordinate below w, and a register of the signature keeps the earliest
+point of any word of the bag. Two bags agree in a register with a probability
+equal to their weighted Jaccard similarity: an unbiased estimate.
+
+The points of an interval come in the order of time, so a word is drawn only up
+to the largest register that the bag has so far. Words that recur within a worker
+keep their earliest point of each register, and set that bound for the others.
+
+Signatures are cut into bands; records that agree in a whole band are candidates,
+verified by the exact multiset overlap. Records are first hung on the smallest
+record of a few bands (stars, linear in the rows); members of a large class found
+so enter the pairing as one row for each band and class, and are compared one by
+one only with records of other classes. So a family that holds a third of all
+rows is never paired with itself. Components of the verified links are the groups.
+
+Equal texts are first folded into one representative; only different texts are
+compared, and the copies get their class back at the end.
+
+Defined results: null in one text column counts as an empty text; a record without
+words is alike to nothing and a class of its own. Rows with a null id are left out
+of pairs and classes. Rows that share an id are one record, alike to whatever one
+of its texts is alike to.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,74 +40,124 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, discard, merge_join
 from .graph import components
 
 BANDS, ROWS = 64, 8
-#: Registers whose bits travel with a band, and by how many of them a true pair may differ:
-#: at a similarity of 0.75 an eighth of the bits is expected to differ.
+#: Bands whose stars are formed first.
+STAR_BANDS = 8
+#: Members up to which a class of the stars is paired row by row.
+FAMILY = 32
+#: Registers whose bits travel with a band; 0 switches the filter off.
 SKETCH_BITS = 128
-_CACHE_LIMIT = 40_000
+#: A word seen so often by a worker keeps its registers, up to _CACHE_LIMIT words.
+_RECURS, _CACHE_LIMIT = 4, 30_000
+_CHUNK = 256
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, vectorised."""
-    x = (x + np.uint64(0x9E3779B97F4A7C15)).astype(np.uint64)
+    x = x + np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-class Arrivals:
-    """First arrivals of the processes of words, per register."""
+class Registers:
+    """Signatures of bags: for each register the time of the earliest point of the words' processes."""
 
     def __init__(self, registers: int) -> None:
         self.m = registers
-        self.own = np.arange(registers, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
-        self.seen: dict[tuple[str, int], np.ndarray] = {}
-
-    def _bits(self, seed: int, node: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return _mix(_mix(self.own ^ np.uint64(seed)) + np.uint64(node & 0xFFFFFFFFFFFFFFFF))
-
-    def _exponential(self, seed: int, node: int, rate: float) -> np.ndarray:
-        u = ((self._bits(seed, node) >> np.uint64(11)).astype(np.float64) + 0.5) / 9007199254740992.0
-        return -np.log(u) / rate
-
-    def _below(self, seed: int, node: int, first: np.ndarray, start: int, length: int, weight: int) -> np.ndarray:
-        """First arrival at a coordinate below `weight` of the process on [start, start + length), whose first arrival overall is `first`."""
-        if weight >= start + length:
-            return first
-        half = length // 2
-        left = (self._bits(seed, 3 * node + 1) & np.uint64(1)).astype(bool)
-        delay = self._exponential(seed, 3 * node + 2, half)
-        if weight <= start + half:
-            return self._below(seed, 2 * node, np.where(left, first, first + delay), start, half, weight)
-        right = self._below(seed, 2 * node + 1, np.where(left, first + delay, first), start + half, half, weight)
-        return np.minimum(np.where(left, first, first + delay), right)
-
-    def of(self, word: str, weight: int) -> np.ndarray:
-        known = self.seen.get((word, weight))
-        if known is None:
-            import xxhash
-
-            if len(self.seen) > _CACHE_LIMIT:
-                self.seen.clear()
-            seed = xxhash.xxh64_intdigest(word)
-            known = self._exponential(seed, 1 << 40, 1.0)  # [0, 1)
-            start, length, root = 1, 1, 2
-            while weight > start:  # [1, 2), [2, 4), [4, 8) ...
-                first = self._exponential(seed, (1 << 40) + root, length)
-                known = np.minimum(known, self._below(seed, root << 20, first, start, length, weight))
-                start, length, root = start + length, 2 * length, root + 1
-            known = self.seen[word, weight] = known.astype(np.float32)
-        return known
-
-
-def signature(bag: dict[str, int], arrivals: Arrivals) -> np.ndarray:
+        self.rows: dict[tuple[str, int], int] = {}
+        self.table = np.empty((1024, registers), dtype=np.float32)
+        self.uses: Counter = Counter()
+
+    def points(self, word: str, weight: int, until: float) -> tuple[np.ndarray, np.ndarray]:
+        """(times, registers) of the points of a word of some weight, up to a time at least."""
+        import xxhash
+
+        times, registers = [], []
+        level, start, length = 0, 0, 1
+        while start < weight:
+            seed = np.uint64(xxhash.xxh64_intdigest(word, level))
+            n = int(self.m * length * until * 1.1) + 16
+            while True:
+                bits = _mix(np.arange(n, dtype=np.uint64) + seed)
+                u = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 9007199254740992.0
+                t = np.cumsum(-np.log(u) / (self.m * length))
+                if t[-1] >= until:
+                    break
+                n *= 2
+            t = t[: int(np.searchsorted(t, until, side="right"))]
+            bits = _mix(bits[: len(t)])
+            r = ((bits >> np.uint64(32)) * np.uint64(self.m)) >> np.uint64(32)
+            if weight < start + length:
+                below = start + (((bits & np.uint64(0xFFFFFFFF)) * np.uint64(length)) >> np.uint64(32)).astype(np.int64) < weight
+                t, r = t[below], r[below]
+            times.append(t.astype(np.float32))
+            registers.append(r.astype(np.int64))
+            level, start, length = level + 1, start + length, max(1, start + length)
+        return np.concatenate(times), np.concatenate(registers)
+
+    def _first(self, word: str, weight: int) -> np.ndarray:
+        """Earliest point of each register."""
+        until = (math.log(self.m) + 4) / weight
+        while True:
+            out = np.full(self.m, np.inf, dtype=np.float32)
+            t, r = self.points(word, weight, until)
+            np.minimum.at(out, r, t)
+            if np.isfinite(out).all():
+                return out
+            until *= 2
+
+    def _row(self, word: str, weight: int) -> int:
+        """Row of the table for a word that recurs, else -1."""
+        key = word, weight
+        at = self.rows.get(key, -1)
+        if at < 0:
+            self.uses[key] += 1
+            if self.uses[key] > _RECURS and len(self.rows) < _CACHE_LIMIT:
+                at = self.rows[key] = len(self.rows)
+                if at == len(self.table):
+                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
+                self.table[at] = self._first(word, weight)
+                del self.uses[key]
+        return at
+
+    def __call__(self, bags: list[Counter]) -> np.ndarray:
+        """Signatures (bags x registers) of bags of at least one word each."""
+        if len(self.uses) > 20 * _CACHE_LIMIT:
+            self.uses.clear()
+        out = np.empty((len(bags), self.m), dtype=np.float32)
+        for i, bag in enumerate(bags):
+            found, rare = [], []
+            for item in bag.items():
+                at = self._row(*item)
+                if at < 0:
+                    rare.append(item)
+                else:
+                    found.append(at)
+            own = out[i]
+            if found:
+                self.table[found].min(axis=0, out=own)
+                until = float(own.max())
+            else:
+                own[:] = np.inf
+                until = (math.log(self.m) + 4) / bag.total()
+            while rare:
+                for word, weight in rare:
+                    t, r = self.points(word, weight, until)
+                    np.minimum.at(own, r, t)
+                if np.isfinite(own).all():
+                    break
+                until *= 2
+        return out
+
+
+def signature(bag: Counter, registers: Registers) -> np.ndarray:
     """Registers of a bag of at least one word."""
-    return np.minimum.reduce([arrivals.of(w, n) for w, n in bag.items()])
+    return registers([Counter(bag)])[0]
 
 
 def bag_of(text: str) -> Counter:
@@ -119,82 +175,123 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        arrivals = Arrivals(bands * rows)
+        registers = Registers(bands * rows)
         salt = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         powers = np.array([pow(0x100000001B3, k, 1 << 64) for k in range(rows)], dtype=np.uint64)
         elements: dict[tuple[str, int], int] = {}
-        for batch in batches:
-            sizes, items, keys, sketches = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                bag = bag_of(text)
-                sizes.append(sum(bag.values()))
-                own = []
-                for w, n in bag.items():
-                    for k in range(n):
-                        h = elements.get((w, k))
-                        if h is None:
-                            if len(elements) > 5 * _CACHE_LIMIT:
-                                elements.clear()
-                            h = elements[w, k] = xxhash.xxh64_intdigest(w, k) - (1 << 63)
-                        own.append(h)
-                items.append(own)
-                if bag:
-                    raw = signature(bag, arrivals).view(np.uint32).astype(np.uint64)
-                    with np.errstate(over="ignore"):
-                        keys.append(_mix((_mix(raw).reshape(bands, rows) * powers).sum(axis=1, dtype=np.uint64) + salt).view(np.int64))
-                    bits = np.packbits((_mix(raw[:SKETCH_BITS]) & np.uint64(1)).astype(np.uint8))
-                    sketches.append(np.resize(bits, SKETCH_BITS // 8).view(np.int64))
-                else:
-                    keys.append(np.zeros(0, dtype=np.int64))
-                    sketches.append(np.zeros(2, dtype=np.int64))
-            offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            sketch = np.array(sketches, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(items, pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)))],
-                ["id", "n", "elements", "s0", "s1", "bands"],
-            )
+
+        def hashes(bag: Counter) -> list[int]:
+            own = []
+            for w, n in bag.items():
+                for k in range(n):
+                    h = elements.get((w, k))
+                    if h is None:
+                        if len(elements) > 10 * _CACHE_LIMIT:
+                            elements.clear()
+                        h = elements[w, k] = xxhash.xxh64_intdigest(w, k) - (1 << 63)
+                    own.append(h)
+            return own
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, _CHUNK):
+                batch = whole.slice(at, _CHUNK)
+                bags = [bag_of(t) for t in batch.column(1).to_pylist()]
+                full = [i for i, b in enumerate(bags) if b]
+                keys = np.zeros((len(full), bands), dtype=np.int64)
+                sketch = np.zeros((len(bags), 2), dtype=np.int64)
+                if full:
+                    raw = _mix(registers([bags[i] for i in full]).view(np.uint32).astype(np.uint64))
+                    keys = _mix((raw.reshape(-1, bands, rows) * powers).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
+                    bits = np.packbits((raw[:, :SKETCH_BITS] & np.uint64(1)).astype(np.uint8), axis=1)
+                    sketch[full] = np.resize(bits.T, (16, len(full))).T.copy().view(np.int64) if bits.shape[1] else 0
+                lengths = np.zeros(len(bags), dtype=np.int32)
+                lengths[full] = bands
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([b.total() for b in bags], pa.int32()), pa.array([hashes(b) for b in bags], pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
+                    ["id", "n", "elements", "s0", "s1", "bands"],
+                )
 
     kind = df.schema["id"].dataType.simpleString()
     return df.select("id", "text").mapInArrow(sign, f"id {kind}, n int, elements array<bigint>, s0 bigint, s1 bigint, bands array<bigint>")
 
 
-def links(signed: DataFrame, threshold: float) -> DataFrame:
-    """(u, v, similarity) of all candidate pairs whose exact multiset similarity reaches the threshold."""
-    spread = (SKETCH_BITS * (1 - threshold) / 2 * (1 - (1 - threshold) / 2)) ** 0.5
-    apart = int(SKETCH_BITS * (1 - threshold) / 2 + 4.5 * spread)  # a true pair lies beyond with a chance of a few in a million
-    flat = signed.where("n > 0").select(F.explode("bands").alias("band"), "id", "n", "s0", "s1")
-    l, r = (flat.select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "s0", "s1"))) for side in "lr")
-    near = F.bit_count(F.col("s0_l").bitwiseXOR(F.col("s0_r"))) + F.bit_count(F.col("s1_l").bitwiseXOR(F.col("s1_r"))) <= apart
-    sizes = F.least("n_l", "n_r") >= F.lit(threshold) * F.greatest("n_l", "n_r")
-    candidates = l.join(r, "band").where((F.col("id_l") < F.col("id_r")) & near & sizes).select("id_l", "id_r").distinct()
+def verified(candidates: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """(u, v, similarity) of the candidates (u, v) whose exact multiset similarity reaches the threshold."""
     bags = signed.select("id", "elements")
-    both = candidates.join(bags.select(F.col("id").alias("id_l"), F.col("elements").alias("e_l")), "id_l").join(bags.select(F.col("id").alias("id_r"), F.col("elements").alias("e_r")), "id_r")
-    shared = F.size(F.array_intersect("e_l", "e_r"))  # an element is a word with the number of its copy: this is the multiset overlap
-    both = both.withColumn("shared", shared).withColumn("union", F.size("e_l") + F.size("e_r") - F.col("shared"))
-    return both.where(F.col("shared") >= F.lit(threshold) * F.col("union")).select(F.col("id_l").alias("u"), F.col("id_r").alias("v"), (F.col("shared") / F.col("union")).alias("similarity"))
+    both = merge_join(candidates, bags.select(F.col("id").alias("u"), F.col("elements").alias("e_u")), "u")
+    both = merge_join(both, bags.select(F.col("id").alias("v"), F.col("elements").alias("e_v")), "v")
+    shared = F.size(F.array_intersect("e_u", "e_v"))  # an element is a word with the number of its copy: this is the multiset overlap
+    both = both.withColumn("shared", shared).withColumn("union", F.size("e_u") + F.size("e_v") - F.col("shared"))
+    return both.where(F.col("shared") >= F.lit(threshold) * F.col("union")).select("u", "v", (F.col("shared") / F.col("union")).alias("similarity"))
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.75, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(key, class_id, links): one row for each record; class_id is the smallest id of its group.
+def stars(signed: DataFrame, bands: int = STAR_BANDS) -> DataFrame:
+    """(u, v): each record with the smallest one of each of its first bands. Minima are pre-aggregated, so a hot band costs one row for each task."""
+    flat = signed.where("n > 0").select(F.explode(F.slice("bands", 1, bands)).alias("band"), "id")
+    least = flat.groupBy("band").agg(F.min("id").alias("v"), F.max("id").alias("most")).where("v < most").select("band", "v")
+    return merge_join(flat, least, "band").where("id <> v").select(F.col("v").alias("u"), F.col("id").alias("v")).distinct()
+
+
+def links(signed: DataFrame, classes: DataFrame, threshold: float, family: int = FAMILY) -> DataFrame:
+    """(u, v) of all candidates, u < v, that share a band and belong to different classes so far.
 
-    links counts the different bags its own bag is directly alike to.
+    classes: (id, component) of the records that have a class with others.
     """
+    size = classes.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("members")).where(F.col("members") > family)
+    known = merge_join(classes, size, F.col("component") == F.col("c"), "left").select(F.col("id").alias("k_id"), "component", F.col("c").isNotNull().alias("large"))
+    rows = merge_join(signed.where("n > 0").select("id", "n", "s0", "s1", "bands"), known, F.col("id") == F.col("k_id"), "left")
+    rows = rows.select("id", "n", "s0", "s1", "bands", F.coalesce("component", "id").alias("class"), F.coalesce("large", F.lit(False)).alias("large"))
+    flat = rows.where("not large").select(F.explode("bands").alias("band"), "class", "id", "n", "s0", "s1")
+    inside = rows.where("large").select(F.explode("bands").alias("band"), "class", "id")
+    kind = dict(flat.dtypes)["id"]
+    one = inside.select("band", "class").distinct().select("band", "class", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("bigint").alias("s0"), F.lit(None).cast("bigint").alias("s1"))
+    side = lambda t, s: t.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "id", "n", "s0", "s1")))
+    every = flat.unionByName(one)
+    near = F.lit(True)
+    if SKETCH_BITS:
+        # a true pair lies beyond with a chance of a few in a million
+        spread = (SKETCH_BITS * (1 - threshold) / 2 * (1 - (1 - threshold) / 2)) ** 0.5
+        apart = int(SKETCH_BITS * (1 - threshold) / 2 + 4.5 * spread)
+        near = F.bit_count(F.col("s0_l").bitwiseXOR(F.col("s0_r"))) + F.bit_count(F.col("s1_l").bitwiseXOR(F.col("s1_r"))) <= apart
+    near = near & (F.least("n_l", "n_r") >= F.lit(threshold) * F.greatest("n_l", "n_r"))
+    met = merge_join(side(every, "l"), side(every, "r"), "band").where((F.col("class_l") < F.col("class_r")) & (F.col("id_l").isNull() | F.col("id_r").isNull() | near))
+    met = met.select("band", "class_l", "class_r", "id_l", "id_r").distinct()
+    direct = met.where("id_l is not null and id_r is not null").select("id_l", "id_r")
+    # rows that stand for a large class are replaced by its members in that band
+    open_ = met.where("id_l is null or id_r is null")
+    for s in "lr":
+        members = inside.select(F.col("band").alias("b"), F.col("class").alias("c"), F.col("id").alias("member"))
+        told = open_.where(f"id_{s} is not null")
+        filled = merge_join(open_.where(f"id_{s} is null"), members, (F.col("band") == F.col("b")) & (F.col(f"class_{s}") == F.col("c")))
+        open_ = told.unionByName(filled.withColumn(f"id_{s}", F.col("member")).select(told.columns))
+    pairs = direct.unionByName(open_.select("id_l", "id_r"))
+    return pairs.select(F.least("id_l", "id_r").alias("u"), F.greatest("id_l", "id_r").alias("v")).distinct()
+
+
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.75, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(key, class_id): one row for each record; class_id is the smallest id of its group."""
     text = joined(*(F.col(c) for c in texts))
-    words = F.array_sort(F.regexp_extract_all(text, F.lit("([a-z0-9]+)"), F.lit(1)))
-    bag = F.concat_ws(" ", words)
-    records = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), bag.alias("text")).withColumn("b0", F.xxhash64("text")).withColumn("b1", F.xxhash64(F.lit("2"), "text"))
-    representatives = records.groupBy("b0", "b1").agg(F.min("id").alias("rep"), F.min("text").alias("text"))
-    signed = cut(signatures(representatives.select(F.col("rep").alias("id"), "text"), bands, rows))
-    found = cut(links(signed, threshold))
-    group = components(found.select("u", "v"))
-    degree = found.select(F.explode(F.array("u", "v")).alias("d_id")).groupBy("d_id").agg(F.count("*").alias("links"))
-    members = records.select("id", "b0", "b1").join(representatives.select("b0", "b1", "rep"), ["b0", "b1"]).select("id", "rep")
-    out = members.join(group.select(F.col("id").alias("g_id"), "component"), F.col("rep") == F.col("g_id"), "left").join(degree, F.col("rep") == F.col("d_id"), "left")
-    return out.select(F.col("id").alias(key), F.coalesce("component", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    every = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), text.alias("text"))
+    worded = F.col("text").rlike("[a-z0-9]")
+    records = every.where(worded).withColumns({"h0": F.xxhash64("text"), "h1": F.xxhash64(F.lit("2"), "text")})
+    representatives = records.groupBy("h0", "h1").agg(F.min("id").alias("id"), F.min("text").alias("text"))
+    signed = cut(signatures(representatives, bands, rows))
+    starred = cut(verified(stars(signed, min(STAR_BANDS, bands)), signed, threshold).select("u", "v"))
+    first = components(starred)
+    more = cut(verified(links(signed, first, threshold), signed, threshold).select("u", "v"))
+    group = components(first.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
+    for done in (signed, starred, more):
+        discard(done)
+    copied = records.groupBy("h0", "h1").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").select("h0", "h1", "rep")
+    members = merge_join(records.select("id", "h0", "h1"), copied, ["h0", "h1"], "left").select("id", F.coalesce("rep", "id").alias("rep"))
+    members = members.unionByName(every.where(~worded).select("id", F.col("id").alias("rep")))
+    out = merge_join(members, group.select(F.col("id").alias("g_id"), "component"), F.col("rep") == F.col("g_id"), "left")
+    return out.select(F.col("id").alias(key), F.coalesce("component", "rep").alias("class_id"))
 
 
 def pairs(classed: DataFrame, key: str) -> DataFrame:
     """(a, b) with a < b: all pairs of records of one class."""
-    l = classed.select(F.col(key).alias("a"), "class_id")
+    l = classed.select(F.col(key).alias("a"), "class_id")  # noqa: E741
     r = classed.select(F.col(key).alias("b"), F.col("class_id").alias("class_b"))
-    return l.join(r, (F.col("class_id") == F.col("class_b")) & (F.col("a") < F.col("b"))).select("a", "b")
+    return merge_join(l, r, (F.col("class_id") == F.col("class_b")) & (F.col("a") < F.col("b"))).select("a", "b")

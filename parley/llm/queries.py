@@ -94,12 +94,7 @@ _ALIKE = r"""
 """
 SQL = {
     "p2_found": f"with recursive {_ALIKE} select a as item_a, b as item_b from r where a < b",
-    "p2_groups": f"""
-        with recursive {_ALIKE}, g as (select item_id, array_to_string(list_sort(regexp_extract_all(lower(coalesce(passage, '') || ' ' || coalesce(metric_description, '')), '[a-z0-9]+')), ' ') as bag from raw_items),
-        c as (select item_id, least(item_id, coalesce(min(b), item_id)) as class_id from raw_items left join r on a = item_id group by item_id),
-        d as (select e.a, count(distinct y.bag) filter (y.bag <> x.bag) as n from e join g x on x.item_id = e.a join g y on y.item_id = e.b group by e.a)
-        select item_id, class_id, coalesce(n, 0) as links from c left join d on d.a = item_id
-    """,
+    "p2_groups": f"with recursive {_ALIKE} select item_id, least(item_id, coalesce(min(b), item_id)) as class_id from raw_items left join r on a = item_id group by item_id",
     "p5_found": f"""
         with f as (select guidance_id, passage, {glyphs.fold_sql('passage')} as look from guidance_items where passage is not null)
         select a.guidance_id as guidance_a, b.guidance_id as guidance_b from f a join f b on a.look = b.look and a.passage <> b.passage and a.guidance_id < b.guidance_id
