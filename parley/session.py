@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def merge_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two tables that both grow with the data: sorted and merged, never broadcast, whatever sizes the optimizer estimates."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint.
 
@@ -46,3 +51,11 @@ def cut(df: DataFrame) -> DataFrame:
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="parley-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a checkpoint made by `cut` that nothing reads any more."""
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
