@@ -8,9 +8,9 @@ with a coordinate below w, and a register of the signature keeps the earliest
 point of any word of the bag. Two bags agree in a register with a probability
 equal to their weighted Jaccard similarity: an unbiased estimate.
 
-The points of an interval come in the order of time, so a word is drawn only up
-to the largest register that the bag has so far. Words that recur within a worker
-keep their earliest point of each register, and set that bound for the others.
+The points of an interval come in the order of time, so the points beyond weight 1
+are drawn only up to the largest register that the bag has so far. What a word and
+weight give is kept by the worker where it recurs.
 
 Signatures are cut into bands; records that agree in a whole band are candidates,
 verified by the exact multiset overlap. Records are first hung on the smallest
@@ -50,8 +50,8 @@ STAR_BANDS = 8
 FAMILY = 32
 #: Registers whose bits travel with a band; 0 switches the filter off.
 SKETCH_BITS = 128
-#: A word seen so often by a worker keeps its registers, up to _CACHE_LIMIT words.
-_RECURS, _CACHE_LIMIT = 4, 30_000
+#: A word of a weight above 1 seen more often than that by a worker keeps its registers, one of weight 1 at once, up to _CACHE_LIMIT of both.
+_RECURS, _CACHE_LIMIT = 2, 30_000
 _CHUNK = 256
 _WORDS = re.compile(r"[a-z0-9]+")
 
@@ -69,95 +69,105 @@ class Registers:
 
     def __init__(self, registers: int) -> None:
         self.m = registers
+        self.own = np.arange(registers, dtype=np.uint64)
+        #: (word, weight) -> row of the table of its registers and of the hashes of its copies
         self.rows: dict[tuple[str, int], int] = {}
         self.table = np.empty((1024, registers), dtype=np.float32)
+        self.hashes: list[list[int]] = []
         self.uses: Counter = Counter()
 
-    def points(self, word: str, weight: int, until: float) -> tuple[np.ndarray, np.ndarray]:
-        """(times, registers) of the points of a word of some weight, up to a time at least."""
+    @staticmethod
+    def _times(bits: np.ndarray) -> np.ndarray:
+        return -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 9007199254740992.0)
+
+    def unit(self, word: str) -> np.ndarray:
+        """Registers of a word of weight 1: the interval [0, 1) is owned whole, so only the earliest point of each register counts."""
+        import xxhash
+
+        return self._times(_mix(self.own + np.uint64(xxhash.xxh64_intdigest(word, 0)))).astype(np.float32)
+
+    def lower(self, out: np.ndarray, word: str, weight: int) -> None:
+        """Lower the registers `out` by the points of a word beyond weight 1, drawn up to the largest register."""
         import xxhash
 
-        times, registers = [], []
-        level, start, length = 0, 0, 1
+        level, start, length, until = 1, 1, 1, float(out.max())
         while start < weight:
             seed = np.uint64(xxhash.xxh64_intdigest(word, level))
             n = int(self.m * length * until * 1.1) + 16
             while True:
                 bits = _mix(np.arange(n, dtype=np.uint64) + seed)
-                u = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 9007199254740992.0
-                t = np.cumsum(-np.log(u) / (self.m * length))
+                t = np.cumsum(self._times(bits) / (self.m * length))
                 if t[-1] >= until:
                     break
                 n *= 2
             t = t[: int(np.searchsorted(t, until, side="right"))]
             bits = _mix(bits[: len(t)])
-            r = ((bits >> np.uint64(32)) * np.uint64(self.m)) >> np.uint64(32)
+            r = (((bits >> np.uint64(32)) * np.uint64(self.m)) >> np.uint64(32)).astype(np.int64)
             if weight < start + length:
                 below = start + (((bits & np.uint64(0xFFFFFFFF)) * np.uint64(length)) >> np.uint64(32)).astype(np.int64) < weight
                 t, r = t[below], r[below]
-            times.append(t.astype(np.float32))
-            registers.append(r.astype(np.int64))
-            level, start, length = level + 1, start + length, max(1, start + length)
-        return np.concatenate(times), np.concatenate(registers)
-
-    def _first(self, word: str, weight: int) -> np.ndarray:
-        """Earliest point of each register."""
-        until = (math.log(self.m) + 4) / weight
-        while True:
-            out = np.full(self.m, np.inf, dtype=np.float32)
-            t, r = self.points(word, weight, until)
-            np.minimum.at(out, r, t)
-            if np.isfinite(out).all():
-                return out
-            until *= 2
+            np.minimum.at(out, r, t.astype(np.float32))
+            level, start, length, until = level + 1, 2 * start, 2 * length, float(out.max())
 
     def _row(self, word: str, weight: int) -> int:
-        """Row of the table for a word that recurs, else -1."""
+        """A new row of the table for a word that is worth one, else -1."""
         key = word, weight
-        at = self.rows.get(key, -1)
-        if at < 0:
+        if weight > 1:
             self.uses[key] += 1
-            if self.uses[key] > _RECURS and len(self.rows) < _CACHE_LIMIT:
-                at = self.rows[key] = len(self.rows)
-                if at == len(self.table):
-                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
-                self.table[at] = self._first(word, weight)
-                del self.uses[key]
+            if self.uses[key] <= _RECURS:
+                return -1
+            del self.uses[key]
+        if len(self.rows) >= _CACHE_LIMIT:
+            return -1
+        at = self.rows[key] = len(self.rows)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        self.table[at] = self.unit(word)
+        self.lower(self.table[at], word, weight)
+        self.hashes.append(copies_of(word, weight))
         return at
 
-    def __call__(self, bags: list[Counter]) -> np.ndarray:
-        """Signatures (bags x registers) of bags of at least one word each."""
+    def __call__(self, bags: list[Counter]) -> tuple[np.ndarray, list[list[int]]]:
+        """Signatures (bags x registers) of bags of at least one word each, and the hashes of each bag's words with their copies."""
         if len(self.uses) > 20 * _CACHE_LIMIT:
             self.uses.clear()
-        out = np.empty((len(bags), self.m), dtype=np.float32)
-        for i, bag in enumerate(bags):
-            found, rare = [], []
-            for item in bag.items():
-                at = self._row(*item)
-                if at < 0:
-                    rare.append(item)
-                else:
-                    found.append(at)
-            own = out[i]
-            if found:
-                self.table[found].min(axis=0, out=own)
-                until = float(own.max())
-            else:
-                own[:] = np.inf
-                until = (math.log(self.m) + 4) / bag.total()
-            while rare:
-                for word, weight in rare:
-                    t, r = self.points(word, weight, until)
-                    np.minimum.at(own, r, t)
-                if np.isfinite(own).all():
-                    break
-                until *= 2
-        return out
+        out = np.full((len(bags), self.m), np.inf, dtype=np.float32)
+        every = []
+        known = self.rows.get
+        for own, bag in zip(out, bags):
+            rows = [known(item, -1) for item in bag.items()]
+            elements: list[int] = []
+            rare = []
+            if -1 in rows:
+                for i, item in enumerate(bag.items()):
+                    if rows[i] < 0:
+                        rows[i] = self._row(*item)
+                        if rows[i] < 0:
+                            rare.append(item)
+                            elements += copies_of(*item)
+                rows = [at for at in rows if at >= 0]
+            if rows:
+                np.minimum.reduce(self.table.take(rows, axis=0), axis=0, out=own)
+            for at in rows:
+                elements += self.hashes[at]
+            for word, _ in rare:
+                np.minimum(own, self.unit(word), out=own)
+            for word, weight in rare:
+                self.lower(own, word, weight)
+            every.append(elements)
+        return out, every
+
+
+def copies_of(word: str, weight: int) -> list[int]:
+    """Hashes of (word, k) for each copy k of a word."""
+    import xxhash
+
+    return [xxhash.xxh64_intdigest(word, k) - (1 << 63) for k in range(weight)]
 
 
 def signature(bag: Counter, registers: Registers) -> np.ndarray:
     """Registers of a bag of at least one word."""
-    return registers([Counter(bag)])[0]
+    return registers([Counter(bag)])[0][0]
 
 
 def bag_of(text: str) -> Counter:
@@ -178,20 +188,6 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
         registers = Registers(bands * rows)
         salt = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         powers = np.array([pow(0x100000001B3, k, 1 << 64) for k in range(rows)], dtype=np.uint64)
-        elements: dict[tuple[str, int], int] = {}
-
-        def hashes(bag: Counter) -> list[int]:
-            own = []
-            for w, n in bag.items():
-                for k in range(n):
-                    h = elements.get((w, k))
-                    if h is None:
-                        if len(elements) > 10 * _CACHE_LIMIT:
-                            elements.clear()
-                        h = elements[w, k] = xxhash.xxh64_intdigest(w, k) - (1 << 63)
-                    own.append(h)
-            return own
-
         for whole in batches:
             for at in range(0, whole.num_rows, _CHUNK):
                 batch = whole.slice(at, _CHUNK)
@@ -199,8 +195,12 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 full = [i for i, b in enumerate(bags) if b]
                 keys = np.zeros((len(full), bands), dtype=np.int64)
                 sketch = np.zeros((len(bags), 2), dtype=np.int64)
+                elements = [[] for _ in bags]
                 if full:
-                    raw = _mix(registers([bags[i] for i in full]).view(np.uint32).astype(np.uint64))
+                    own, hashes = registers([bags[i] for i in full])
+                    for i, h in zip(full, hashes):
+                        elements[i] = h
+                    raw = _mix(own.view(np.uint32).astype(np.uint64))
                     keys = _mix((raw.reshape(-1, bands, rows) * powers).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
                     bits = np.packbits((raw[:, :SKETCH_BITS] & np.uint64(1)).astype(np.uint8), axis=1)
                     sketch[full] = np.resize(bits.T, (16, len(full))).T.copy().view(np.int64) if bits.shape[1] else 0
@@ -208,7 +208,7 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 lengths[full] = bands
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([b.total() for b in bags], pa.int32()), pa.array([hashes(b) for b in bags], pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
+                    [batch.column(0), pa.array([b.total() for b in bags], pa.int32()), pa.array(elements, pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
                     ["id", "n", "elements", "s0", "s1", "bands"],
                 )
 
@@ -241,13 +241,10 @@ def links(signed: DataFrame, classes: DataFrame, threshold: float, family: int =
     size = classes.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("members")).where(F.col("members") > family)
     known = merge_join(classes, size, F.col("component") == F.col("c"), "left").select(F.col("id").alias("k_id"), "component", F.col("c").isNotNull().alias("large"))
     rows = merge_join(signed.where("n > 0").select("id", "n", "s0", "s1", "bands"), known, F.col("id") == F.col("k_id"), "left")
-    rows = rows.select("id", "n", "s0", "s1", "bands", F.coalesce("component", "id").alias("class"), F.coalesce("large", F.lit(False)).alias("large"))
-    flat = rows.where("not large").select(F.explode("bands").alias("band"), "class", "id", "n", "s0", "s1")
+    rows = rows.select("id", "n", "s0", "s1", "bands", F.col("component").alias("class"), F.coalesce("large", F.lit(False)).alias("large"))
+    flat = rows.where("not large").select(F.explode("bands").alias("band"), "class", "id", "n", "s0", "s1")  # class is null for a record that is alone so far
     inside = rows.where("large").select(F.explode("bands").alias("band"), "class", "id")
-    kind = dict(flat.dtypes)["id"]
-    one = inside.select("band", "class").distinct().select("band", "class", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("bigint").alias("s0"), F.lit(None).cast("bigint").alias("s1"))
     side = lambda t, s: t.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "id", "n", "s0", "s1")))
-    every = flat.unionByName(one)
     near = F.lit(True)
     if SKETCH_BITS:
         # a true pair lies beyond with a chance of a few in a million
@@ -255,17 +252,17 @@ def links(signed: DataFrame, classes: DataFrame, threshold: float, family: int =
         apart = int(SKETCH_BITS * (1 - threshold) / 2 + 4.5 * spread)
         near = F.bit_count(F.col("s0_l").bitwiseXOR(F.col("s0_r"))) + F.bit_count(F.col("s1_l").bitwiseXOR(F.col("s1_r"))) <= apart
     near = near & (F.least("n_l", "n_r") >= F.lit(threshold) * F.greatest("n_l", "n_r"))
-    met = merge_join(side(every, "l"), side(every, "r"), "band").where((F.col("class_l") < F.col("class_r")) & (F.col("id_l").isNull() | F.col("id_r").isNull() | near))
-    met = met.select("band", "class_l", "class_r", "id_l", "id_r").distinct()
-    direct = met.where("id_l is not null and id_r is not null").select("id_l", "id_r")
-    # rows that stand for a large class are replaced by its members in that band
-    open_ = met.where("id_l is null or id_r is null")
-    for s in "lr":
-        members = inside.select(F.col("band").alias("b"), F.col("class").alias("c"), F.col("id").alias("member"))
-        told = open_.where(f"id_{s} is not null")
-        filled = merge_join(open_.where(f"id_{s} is null"), members, (F.col("band") == F.col("b")) & (F.col(f"class_{s}") == F.col("c")))
-        open_ = told.unionByName(filled.withColumn(f"id_{s}", F.col("member")).select(told.columns))
-    pairs = direct.unionByName(open_.select("id_l", "id_r"))
+    apart_so_far = ~F.col("class_l").eqNullSafe(F.col("class_r"))
+    pairs = merge_join(side(flat, "l"), side(flat, "r"), "band").where((F.col("id_l") < F.col("id_r")) & (F.col("class_l").isNull() | apart_so_far) & near).select("id_l", "id_r")
+    # large classes: one row for each band, replaced by its members there where another class is met
+    groups = inside.select("band", F.col("class").alias("class_l")).distinct()
+    members = inside.select(F.col("band").alias("b"), F.col("class").alias("c"), "id")
+    met = merge_join(groups, flat.select("band", F.col("class").alias("class_r"), F.col("id").alias("id_r")), "band").select("band", "class_l", "id_r").distinct()
+    met = merge_join(met, members, (F.col("band") == F.col("b")) & (F.col("class_l") == F.col("c"))).select(F.col("id").alias("id_l"), "id_r")
+    both = merge_join(groups, groups.select(F.col("band").alias("b"), F.col("class_l").alias("class_r")), (F.col("band") == F.col("b")) & (F.col("class_l") < F.col("class_r"))).select("band", "class_l", "class_r")
+    both = merge_join(both, members, (F.col("band") == F.col("b")) & (F.col("class_l") == F.col("c"))).select("band", "class_r", F.col("id").alias("id_l"))
+    both = merge_join(both, members, (F.col("band") == F.col("b")) & (F.col("class_r") == F.col("c"))).select("id_l", F.col("id").alias("id_r"))
+    pairs = pairs.unionByName(met).unionByName(both)
     return pairs.select(F.least("id_l", "id_r").alias("u"), F.greatest("id_l", "id_r").alias("v")).distinct()
 
 

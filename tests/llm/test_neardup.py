@@ -31,10 +31,10 @@ def test_large_weights(a, b):
 
 
 def test_words_that_recur_give_the_same_registers():
-    fresh, used = neardup.Registers(512), neardup.Registers(512)
+    used = neardup.Registers(512)
     bags = [Counter({f"w{i % 7}": i % 3 + 1, "all": 2, f"only{i}": 1}) for i in range(80)]
-    assert all((fresh_ == used_).all() for fresh_, used_ in zip((neardup.signature(b, neardup.Registers(512)) for b in bags), used(bags)))
-    assert used.rows and not fresh.rows
+    assert all((fresh_ == used_).all() for fresh_, used_ in zip((neardup.signature(b, neardup.Registers(512)) for b in bags), used(bags)[0]))
+    assert len(used.rows) > 80
 
 
 def texts(n, seed):
