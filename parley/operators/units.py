@@ -20,8 +20,8 @@ currency column before the passage. Amounts in crore or lakh are in rupees.
 
 Defined results: null and empty values, words without a number, multiples, and
 numbers whose unit is told nowhere or has no kind in the table give no row in
-`quantities`. A foreign amount without a rate gives null lo and hi. Repeated rows
-are kept. Ranges told high to low are put in order.
+`quantities`. A foreign amount without a rate gives null lo and hi, an amount beyond
+10^18 likewise. Repeated rows are kept. Ranges told high to low are put in order.
 """
 
 from __future__ import annotations
@@ -32,10 +32,9 @@ from dataclasses import dataclass
 from decimal import Decimal
 from fractions import Fraction
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..functions.glyphs import fold
 
@@ -83,15 +82,15 @@ class Unit:
         return not any(self.exponents)
 
 
-def parse_unit(text: str, leading: bool = False) -> tuple[Unit | None, int]:
-    """The unit a text in lower case spells, and where it ends.
+def parse_unit(text: str, leading: bool = False, at: int = 0) -> tuple[Unit | None, int]:
+    """The unit a text in lower case spells from position `at` on, and where it ends.
 
-    leading: read the longest unit at the start and leave the rest; otherwise a
+    leading: read the longest unit there and leave the rest; otherwise a
     word that belongs to no unit makes the text no unit.
     """
     exponents = dict.fromkeys(DIMENSIONS, 0)
     scale, offset, currency, scaled, rupees = Fraction(1), Fraction(0), None, False, False
-    sign, at, end, read = 1, 0, 0, 0
+    sign, end, read = 1, at, 0
 
     time_scale = Fraction(1)
 
@@ -219,16 +218,16 @@ def in_passage(passage: str, low: Fraction, high: Fraction, vectors: set[tuple[i
     for i, m in enumerate(numbers):
         if number(m.group(1)) != low:
             continue
-        end, first_unit = m.end(), None
-        unit, _ = parse_unit(passage[m.end() : m.end() + 48], leading=True)
+        first_unit = None
+        unit, _ = parse_unit(passage, True, m.end())
         if high != low:
             if i + 1 == len(numbers) or number(numbers[i + 1].group(1)) != high:
                 continue
             between = passage[m.end() : numbers[i + 1].start()]
-            if len(between) > 40 or not re.search(r"-|–|—|\bto\b|\band\b", between):
+            if not re.search(r"-|–|—|\bto\b|\band\b", between):
                 continue
             first_unit, end = unit, numbers[i + 1].end()
-            unit, _ = parse_unit(passage[end : end + 48], leading=True)
+            unit, _ = parse_unit(passage, True, end)
         unit = unit or first_unit
         sign = re.search(r"(us\$|\$|₹|\brs\.?|\binr|\busd)\s*$", passage[: m.start()])
         if sign:
@@ -239,7 +238,7 @@ def in_passage(passage: str, low: Fraction, high: Fraction, vectors: set[tuple[i
     return min(hits, key=lambda h: h[0])[1] if hits else None
 
 
-def common_amount(value: str | None, unit: str | None, currency: str | None, passage: str | None, metric: str | None, kinds: dict[tuple[int, ...], tuple[str, Fraction]]) -> tuple[str, Decimal, Decimal, str] | None:
+def common_amount(value: str | None, unit: str | None, currency: str | None, passage: str | None, metric: str | None, kinds: dict[tuple[int, ...], tuple[str, Fraction]]) -> tuple[str, Decimal | None, Decimal | None, str] | None:
     """(common unit, lo, hi, currency) before the conversion of the currency; None if it is no amount of a known kind."""
     if not value:
         return None
@@ -273,6 +272,8 @@ def common_amount(value: str | None, unit: str | None, currency: str | None, pas
             money = beside.currency if beside and beside.currency and not beside.rupees else "INR"
     common, per_base = known
     lo, hi = sorted(((x * chosen.scale + chosen.offset) * per_base for x in (low, high)))
+    if max(-lo, hi) >= 10**18:
+        return common, None, None, money
     as_decimal = lambda f: (Decimal(f.numerator) / Decimal(f.denominator)).quantize(Decimal("0.000001"))
     return common, as_decimal(lo), as_decimal(hi), money
 
@@ -280,22 +281,26 @@ def common_amount(value: str | None, unit: str | None, currency: str | None, pas
 def quantities(items: DataFrame, units: DataFrame, rates: DataFrame, key: str = "guidance_id") -> DataFrame:
     """(key, common_unit, lo, hi, currency) of every item that holds an amount of a kind of the table `units`.
 
-    `units` is a fixed table with one row for each unit; it is read on the driver.
+    `units` is a fixed table with one row for each unit; it is read on the driver. `rates`
+    has one row for each currency and quarter.
     """
     kinds = conversions([tuple(r) for r in units.select("unit_code", "quantity_kind", "common_unit", "factor").collect()])
 
-    def parse(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for columns in batches:
-            rows = [common_amount(*row, kinds) or (None,) * 4 for row in zip(*columns)]
-            yield pd.DataFrame(rows, columns=["common_unit", "lo", "hi", "currency"])
+    told = ("guidance_value", "guidance_unit", "currency", "passage", "metric")
+    own = items.where("guidance_value is not null").select(F.col(key).alias("__key"), F.upper(F.trim("quarter")).alias("__q"), *told)
 
-    def guarded(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        yield from parse([c.where(c.notna(), None) for c in batch] for batch in batches)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        amount = pa.decimal128(32, 6)
+        for batch in batches:
+            found = [(i, a) for i, row in enumerate(zip(*(batch.column(2 + k).to_pylist() for k in range(len(told))))) if (a := common_amount(*row, kinds))]
+            take = pa.array([i for i, _ in found], pa.int64())
+            made = [pa.array([a[k] for _, a in found], t) for k, t in enumerate((pa.string(), amount, amount, pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *made], ["__key", "__q", "common_unit", "lo", "hi", "currency"])
 
-    amount = pandas_udf(guarded, "common_unit string, lo decimal(32,6), hi decimal(32,6), currency string")
-    rows = items.select(F.col(key), F.upper(F.trim("quarter")).alias("__q"), amount("guidance_value", "guidance_unit", "currency", "passage", "metric").alias("a")).where("a.common_unit is not null")
+    # rows without an amount end here, and every row is parsed once
+    rows = own.mapInArrow(parse, f"__key {own.schema['__key'].dataType.simpleString()}, __q string, common_unit string, lo decimal(32,6), hi decimal(32,6), currency string")
     fx = rates.select(F.col("currency").alias("__c"), F.upper(F.trim("quarter")).alias("__fq"), F.col("inr_per_unit").cast("decimal(14,6)").alias("__rate"))
-    rows = rows.join(fx, (F.col("a.currency") == F.col("__c")) & (F.col("__q") == F.col("__fq")), "left")
-    rate = F.when(F.col("a.currency") == "INR", F.lit(1).cast("decimal(14,6)")).otherwise(F.col("__rate"))
+    rows = rows.join(fx, (F.col("currency") == F.col("__c")) & (F.col("__q") == F.col("__fq")), "left")
+    rate = F.when(F.col("currency") == "INR", F.lit(1).cast("decimal(14,6)")).otherwise(F.col("__rate"))
     whole = lambda c: F.round(F.col(c) * rate, 0).cast("bigint")
-    return rows.select(key, F.col("a.common_unit").alias("common_unit"), whole("a.lo").alias("lo"), whole("a.hi").alias("hi"), F.col("a.currency").alias("currency"))
+    return rows.select(F.col("__key").alias(key), "common_unit", whole("lo").alias("lo"), whole("hi").alias("hi"), "currency")

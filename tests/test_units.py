@@ -53,6 +53,15 @@ def test_vectors_and_offset():
     assert units.parse_unit("depots")[0] is None and units.parse_unit("months in payback", leading=True)[0].has("time") == 1
 
 
+def test_no_window_of_characters():
+    """A unit however long, and ends of a range however far apart, are read whole."""
+    far = f"margin of 12 per cent {'or so ' * 30}to 14 per cent"
+    assert units.common_amount("12-14", None, None, far, None, KINDS)[:3] == ("bps", Decimal(1200), Decimal(1400))
+    wide = f"we sell 5{' ' * 80}tonnes"
+    assert units.common_amount("5", None, None, wide, None, KINDS)[0] == "kg"
+    assert units.common_amount("9" * 40, "tonnes", None, None, None, KINDS) == ("kg", None, None, "INR")
+
+
 def test_table_must_agree_with_itself():
     with pytest.raises(ValueError):
         units.conversions([*BASE, ("kilotonne", "mass", "kg", 5.0)])
