@@ -1,7 +1,8 @@
 """Characters that look the same: tables and the character-level fold.
 
 Width forms and joined letters come from the Unicode data by rule; look-alike
-letters are a short list of fixed values.
+letters of other scripts are a list of fixed values, taken from their shapes in
+common text fonts: those a reader of running text can't tell from Latin letters.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from functools import cache
 
 # Letters of other scripts and the Latin letters they look like.
 LOOKALIKES = {
-    "Cyrillic": ("АВЕЅІЈКМНОРСТУХҮԚԜаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTYXYQWaesijopcyxhdqwl"),
-    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανιρυ", "ABEZHIKMNOPTYXoavipu"),
+    "Cyrillic": ("АВЕЅІЈКМНОРСТУХҮԚԜԌӀѴаеѕіјорсухһԁԛԝӏүѵ", "ABESIJKMHOPCTYXYQWGIVaesijopcyxhdqwlyv"),
+    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿοανιρυϲϳ", "ABEZHIKMNOPTYXCJoavipucj"),
     "Armenian": ("ՍՕոսօհցզ", "UOnuohgq"),
-    "Cherokee": ("ᎪᎬᎳᎷᎻᏀᏃᏙᏞᏟᏢᏴ", "AEWMHGZVLCPB"),
+    "Cherokee": ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏏᏙᏚᏞᏟᏢᏦᏧᏴ", "DRTiAJEWMHGZbVSLCPKdB"),
+    "Coptic": ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬⲟⲣⲥ", "ABEHIKMNOPCTXopc"),
     "Latin": ("ɑɡ", "ag"),
 }
 
@@ -26,6 +28,7 @@ SCRIPT_RANGES = {
     "Cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C88), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)),
     "Armenian": ((0x531, 0x58F),),
     "Cherokee": ((0x13A0, 0x13FF), (0xAB70, 0xABBF)),
+    "Coptic": ((0x2C80, 0x2CFF),),
     "Devanagari": ((0x900, 0x97F), (0xA8E0, 0xA8FF)),
 }
 
@@ -34,15 +37,15 @@ TO_LATIN = {script: dict(zip(*pair)) for script, pair in LOOKALIKES.items()}
 #: script -> {Latin letter: letter}
 FROM_LATIN = {script: {v: k for k, v in reversed(m.items())} for script, m in TO_LATIN.items() if script != "Latin"}
 
-# Hyphens that look like the ASCII one.
-HYPHENS = "‐‑﹣－"
+# Hyphens that look like the ASCII one; dashes and the minus sign are longer to the eye.
+HYPHENS = "‐‑˗⁃﹣－"
 # Characters without a glyph that are not in the category Cf.
 NO_GLYPH = [0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]
 
 
 @cache
 def plain_characters() -> dict[int, str | None]:
-    """Translation of width forms, joined letters, spaces, hyphens and characters without a glyph."""
+    """Translation of width and font forms, Roman numerals, joined letters, spaces, hyphens and characters without a glyph."""
     out: dict[int, str | None] = {}
     for code in range(0x80, 0x30000):
         ch = chr(code)
@@ -53,7 +56,7 @@ def plain_characters() -> dict[int, str | None]:
             out[code] = None
         else:
             shape = unicodedata.decomposition(ch)
-            if shape.startswith(("<wide>", "<narrow>")):
+            if shape.startswith(("<wide>", "<narrow>", "<font>")) or 0x2160 <= code <= 0x217F:
                 out[code] = unicodedata.normalize("NFKC", ch)
             elif shape.startswith("<compat>") and kind in ("Ll", "Lu", "Lt") and len(shape.split()) > 2 and code < 0x250 or 0xFB00 <= code <= 0xFB17:
                 out[code] = unicodedata.normalize("NFKC", ch)
@@ -85,18 +88,3 @@ def fold(text: str) -> str:
     """Every look-alike letter as its Latin twin, other forms normalised: for reading a text, not for showing it."""
     return text if text.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_fold_table()))
 
-
-def fold_sql(column: str) -> str:
-    """The SQL (DuckDB) of `fold` for a column."""
-    quoted = lambda t: "'" + t.replace("'", "''") + "'"
-    single = {chr(k): v for k, v in plain_characters().items() if v is not None and len(v) == 1}
-    single |= {k: v for pairs in TO_LATIN.values() for k, v in pairs.items()}
-    several = {chr(k): v for k, v in plain_characters().items() if v is not None and len(v) > 1 and k < 0x10000}
-    # letters with an accent of their own whose base has a Latin twin
-    composed = {c: unicodedata.normalize("NFC", single[d[0]] + d[1:]) for c in map(chr, (*range(0x370, 0x530), *range(0x1F00, 0x2000))) if len(d := unicodedata.normalize("NFD", c)) > 1 and d[0] in single}
-    single |= {k: v for k, v in composed.items() if len(v) == 1}
-    out = f"regexp_replace({column}, '[\\p{{Cf}}\\x{{034F}}\\x{{115F}}\\x{{1160}}\\x{{3164}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g')"
-    for k, v in several.items():
-        if 0xFB00 <= ord(k) <= 0xFB06:
-            out = f"replace({out}, {quoted(k)}, {quoted(v)})"
-    return f"nfc_normalize(translate({out}, {quoted(''.join(single))}, {quoted(''.join(single.values()))}))"

@@ -1,8 +1,25 @@
 """SQL (DuckDB) for the core queries that SQL can express, by the name of the query."""
 
-from .functions.glyphs import fold_sql
 from .operators.fiscal import USDINR
 
+# What a reader takes for the same, told once more and apart from the tables of the operators.
+_TWINS = (
+    "АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЈJ ЅS аa еe оo рp сc уy хx іi јj ѕs һh ԁd ԛq ԝw ӏl ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo αa νv ιi ρp υu "
+    "ѐè ЀÈ ёë ЁË їï ЇÏ όó Όó άá ίí ύú ΆÁ ΈÉ ΊÍ ɑa ɡg"
+).split()
+
+
+def look(column: str) -> str:
+    """A column with one spelling for all characters that look the same."""
+    x = column
+    for joined, letters in (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl")):
+        x = f"replace({x}, '{joined}', '{letters}')"
+    x = rf"regexp_replace({x}, '[\p{{Cf}}\x{{034F}}\x{{FE00}}-\x{{FE0F}}]', '', 'g')"
+    x = rf"regexp_replace(regexp_replace({x}, '\p{{Zs}}', ' ', 'g'), '[‐‑﹣－]', '-', 'g')"
+    wide, narrow = (f"(select string_agg(chr((i - {less})::int), '' order by i) from range(65281, 65375) t(i))" for less in (0, 65248))
+    return f"nfc_normalize(translate(translate({x}, {wide}, {narrow}), '{''.join(t[0] for t in _TWINS)}', '{''.join(t[1] for t in _TWINS)}'))"
+
+
 _TL = r"""
     tl as (
         select guidance_id, timeline, extracted_at::date as day, quarter,
@@ -279,8 +296,8 @@ _TAIL = (
 )
 _P3 = rf"""
     f as (
-        select guidance_id, upper(trim(quarter)) as q, replace(lower({fold_sql('guidance_value')}), '''000', ' thousand ') as v, replace(lower(trim({fold_sql("coalesce(guidance_unit, '')")})), '''000', 'thousand') as u0, upper(trim(coalesce(currency, ''))) as c0,
-            replace(lower({fold_sql("coalesce(passage, '')")}), '''000', ' thousand ') as p from guidance_items where guidance_value is not null
+        select guidance_id, upper(trim(quarter)) as q, replace(lower({look('guidance_value')}), '''000', ' thousand ') as v, replace(lower(trim({look("coalesce(guidance_unit, '')")})), '''000', 'thousand') as u0, upper(trim(coalesce(currency, ''))) as c0,
+            replace(lower({look("coalesce(passage, '')")}), '''000', ' thousand ') as p from guidance_items where guidance_value is not null
     ), g as (select *, regexp_extract_all(v, '\d[\d,]*(?:[.]\d+)?') as nums from f),
     h as (select *, case when len(nums) > 1 then 2 else 1 end as k, trim(regexp_replace(regexp_replace(v, '\d[\d,]*(?:[.]\d+)?', ' ', 'g'), '[<>=~+–-]|\b(?:to|up|approx)\b[.]?', ' ', 'g')) as w from g where len(nums) > 0),
     i as (
