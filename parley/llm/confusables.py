@@ -20,15 +20,15 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..functions.glyphs import FROM_LATIN, TO_LATIN, plain_characters, script_of
+from ..session import cut, merge_join
 
 #: Preferred script where a token can be written in several.
-PREFERENCE = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee")
+PREFERENCE = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Coptic")
 _TOKEN = re.compile(r"(?:[^\W\d_][̀-ͯ]*)+")
 _CACHE_LIMIT = 200_000
 
@@ -102,30 +102,42 @@ class Normalizer:
         return form, counts["mixed"], counts["whole"]
 
 
-def one_form(text: Column) -> Column:
-    """struct(form, mixed_tokens, whole_tokens) of a text column."""
+def forms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, form, mixed_tokens, whole_tokens) of every row; a text of printable ASCII characters is its own form and never reaches Python."""
+    rows = df.select(*keys, F.col(text).alias("__text"))
+    plain = F.col("__text").isNull() | F.col("__text").rlike(r"\A[\x20-\x7e]*\z")
+    zero = F.when(F.col("__text").isNotNull(), F.lit(0))
+    own = rows.where(plain).select(*keys, F.col("__text").alias("form"), zero.alias("mixed_tokens"), zero.alias("whole_tokens"))
+    kinds = dict(rows.dtypes)
 
-    def normalise(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Normalizer()
-        for texts in batches:
-            rows = [(None, None, None) if t is None else own(t) for t in texts]
-            yield pd.DataFrame(rows, columns=["form", "mixed_tokens", "whole_tokens"]).astype({"mixed_tokens": "Int32", "whole_tokens": "Int32"})
+    def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = Normalizer()
+        for batch in batches:
+            found = [one(t) for t in batch.column(len(keys)).to_pylist()]
+            made = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, "form", "mixed_tokens", "whole_tokens"])
 
-    return pandas_udf(normalise, "form string, mixed_tokens int, whole_tokens int")(text)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "form string, mixed_tokens int, whole_tokens int"])
+    return own.unionByName(rows.where(~plain).mapInArrow(normalise, schema))
 
 
 def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """All pairs (a < b) of rows whose texts differ as strings and share one form.
 
-    Distinct strings are paired first and ids attached after, so a group of
-    exact copies, however large, never meets itself.
+    Distinct texts are paired first and ids attached after, so a group of exact
+    copies, however large, never meets itself. Two texts of printable ASCII characters
+    never share a form; so only the others are normalised, and meet each other and
+    the text that equals their form. The joins carry hashes of 128 bits, no texts.
     """
+    digest = lambda c: (F.xxhash64(c), F.xxhash64(F.lit("2"), c))
+    named = lambda c, n: [x.alias(f"{n}{i}") for i, x in enumerate(digest(F.col(c)))]
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    texts = rows.select("text").distinct().select(F.xxhash64("text").alias("h"), F.length("text").alias("n"), one_form(F.col("text"))["form"].alias("form"), "text")
-    forms = texts.select(F.xxhash64("form").alias("f"), "form", "h", "n", "text")
-    left = forms.select("f", "form", F.col("text").alias("text_l"))
-    right = forms.select(F.col("f").alias("f_r"), F.col("form").alias("form_r"), F.col("text").alias("text_r"))
-    pairs = left.join(right, (F.col("f") == F.col("f_r")) & (F.col("form") == F.col("form_r")) & (F.col("text_l") < F.col("text_r"))).select("text_l", "text_r")
-    ids = pairs.join(rows.select(F.col("id").alias("id_l"), F.col("text").alias("text_l")), "text_l").select("id_l", "text_r")
-    ids = ids.join(rows.select(F.col("id").alias("id_r"), F.col("text").alias("text_r")), "text_r")
-    return ids.select(F.least("id_l", "id_r").alias("a"), F.greatest("id_l", "id_r").alias("b")).where("a < b")
+    ids = rows.select("id", *named("text", "h"))
+    other = rows.where(~F.col("text").rlike(r"\A[\x20-\x7e]*\z")).select("text", *named("text", "h")).groupBy("h0", "h1").agg(F.min("text").alias("text"))
+    variants = forms(other, ["h0", "h1"], "text").select("h0", "h1", *named("form", "f"))
+    variants = cut(variants.unionByName(variants.select(F.col("f0").alias("h0"), F.col("f1").alias("h1"), "f0", "f1")).distinct())  # small beside the texts, and read for both sides
+    side = lambda s: variants.select("f0", "f1", F.col("h0").alias(f"h0_{s}"), F.col("h1").alias(f"h1_{s}"))
+    pairs = merge_join(side("l"), side("r"), ["f0", "f1"]).where("h0_l < h0_r or h0_l = h0_r and h1_l < h1_r")
+    for s in "lr":
+        pairs = merge_join(pairs, ids.select(F.col("id").alias(f"id_{s}"), F.col("h0").alias(f"h0_{s}"), F.col("h1").alias(f"h1_{s}")), [f"h0_{s}", f"h1_{s}"])
+    return pairs.select(F.least("id_l", "id_r").alias("a"), F.greatest("id_l", "id_r").alias("b")).where("a < b")

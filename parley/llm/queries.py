@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import glyphs
 from ..session import cut, table
+from ..sql import look
 from . import chunking, confusables, langid, mixing, neardup, packing, tokens, turns
 
 
@@ -39,8 +39,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_forms(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "guidance_items").select("guidance_id", confusables.one_form(F.col("passage")).alias("f"))
-    return rows.select("guidance_id", F.col("f.form").alias("form"), F.col("f.mixed_tokens").alias("mixed_tokens"), F.col("f.whole_tokens").alias("whole_tokens"))
+    return confusables.forms(table(spark, d, "guidance_items"), ["guidance_id"], "passage")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -95,8 +94,8 @@ _ALIKE = r"""
 SQL = {
     "p2_found": f"with recursive {_ALIKE} select a as item_a, b as item_b from r where a < b",
     "p2_groups": f"with recursive {_ALIKE} select item_id, least(item_id, coalesce(min(b), item_id)) as class_id from raw_items left join r on a = item_id group by item_id",
-    "p5_found": f"""
-        with f as (select guidance_id, passage, {glyphs.fold_sql('passage')} as look from guidance_items where passage is not null)
+    "p5_found": rf"""
+        with f as (select guidance_id, passage, {look('passage')} as look from guidance_items where passage is not null)
         select a.guidance_id as guidance_a, b.guidance_id as guidance_b from f a join f b on a.look = b.look and a.passage <> b.passage and a.guidance_id < b.guidance_id
     """,
     "p4_found": r"""
