@@ -14,14 +14,14 @@ def _limit(spark: SparkSession, d: str, name: str) -> int:
     return table(spark, d, "limits_ref").where(F.col("limit_name") == name).first()["limit_value"]
 
 
-def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return turns.turn_bounds(table(spark, d, "turns"), table(spark, d, "participants"))
-
-
 def p1_turns(spark: SparkSession, d: str) -> DataFrame:
     return turns.clean_turns(table(spark, d, "turns"), table(spark, d, "participants"))
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_turns(spark, d).select("call_id", "first_turn_id", "last_turn_id", "participant_id")
+
+
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.classes(table(spark, d, "raw_items"), "item_id", ["passage", "metric_description"], 0.75)
 

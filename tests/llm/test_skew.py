@@ -38,7 +38,7 @@ def test_one_long_call(spark):
     rows = [(i, 1 if i % 3 == 0 else 10_000 + i, 10 * i, who[i // 3 % 4], None, "Some words here.") for i in range(n)]
     t = spark.createDataFrame(rows, "turn_id long, call_id long, char_start int, speaker string, role string, text string")
     p = spark.createDataFrame([(7, 1, who[0], "management"), (8, 1, who[1], "analyst")], "participant_id long, call_id long, name string, role string")
-    hot = turns.turn_bounds(t, p, 500).where("call_id = 1").orderBy("first_turn_id").collect()
+    hot = turns.clean_turns(t, p, 500).where("call_id = 1").orderBy("first_turn_id").collect()
     expected, last, speaker = [], None, None
     for i in range(0, n, 3):
         label = who[i // 3 % 4]
