@@ -215,6 +215,9 @@ class Names:
 
     def __init__(self) -> None:
         self.by: dict[tuple, set[int]] = {}
+        self.names: dict[int, tuple[str, ...]] = {}
+        self.pieces: dict[tuple[int, int, str], set[int]] = {}
+        self.cut: set[int] = set()  # names whose pieces are in the index
 
     @staticmethod
     def _exact(name: tuple[str, ...], every: bool) -> list[tuple]:
@@ -243,23 +246,28 @@ class Names:
         return {" ".join(name), name[0], name[-1]}
 
     def add(self, number: int, name: tuple[str, ...]) -> None:
+        self.names[number] = name
         for key in self._exact(name, True):
             self.by.setdefault(key, set()).add(number)
-        for s in self._spelled(name):
-            for k, a, n in self._pieces(s, len(s)):
-                if n:
-                    self.by.setdefault((len(s), k, s[a : a + n]), set()).add(number)
 
-    def near(self, name: tuple[str, ...]) -> set[int]:
-        """Numbers of the names that this one may fit, or that may fit this one."""
+    def same(self, name: tuple[str, ...], either: bool = False) -> set[int]:
+        """Numbers of the names that this one fits by its words; either: or that fit this one."""
+        return set().union(*(self.by.get(key, ()) for key in self._exact(name, either)))
+
+    def spelled(self, name: tuple[str, ...]) -> set[int]:
+        """Numbers of the names that this one may be a misspelling of."""
+        for number in self.names.keys() - self.cut:  # most names never need this
+            for s in self._spelled(self.names[number]):
+                for k, a, n in self._pieces(s, len(s)):
+                    if n:
+                        self.pieces.setdefault((len(s), k, s[a : a + n]), set()).add(number)
+            self.cut.add(number)
         out: set[int] = set()
-        for key in self._exact(name, True):
-            out |= self.by.get(key, set())
         for s in self._spelled(name):
             for length in range(max(self.PIECES, len(s) - self.EDITS), len(s) + self.EDITS + 1):
                 for k, a, n in self._pieces(s, length):
                     for at in range(max(0, a - self.EDITS), a + self.EDITS + 1):
-                        out |= self.by.get((length, k, s[at : at + n]), set())
+                        out |= self.pieces.get((length, k, s[at : at + n]), set())
         return out
 
 
@@ -295,11 +303,10 @@ def resolve(labels: list[tuple[str, ...]], people: list[tuple[int, str, str]]) -
     while waiting:
         found, rest = [], []
         for w in waiting:
-            near = index.near(w)
-            scores = {i: fits_name(w, names[i]) for i in near}
+            scores = {i: fits_name(w, names[i]) for i in index.same(w)}
             best = max(scores.values(), default=0)
             if not best:
-                scores = {i: fits_spelling(w, names[i]) for i in near}
+                scores = {i: fits_spelling(w, names[i]) for i in index.spelled(w)}
                 best = max(scores.values(), default=0)
             who = sorted({sets.find(i) for i, s in scores.items() if s == best and best})
             if who:
@@ -318,7 +325,7 @@ def resolve(labels: list[tuple[str, ...]], people: list[tuple[int, str, str]]) -
             index.add(at[w], w)
     strangers = Names()
     for w in waiting:
-        for i in strangers.near(w):
+        for i in strangers.same(w, True) | strangers.spelled(w):
             a, b = w, names[i]
             if fits_name(a, b) or fits_name(b, a) or fits_spelling(a, b):
                 sets.join(i, at[w])

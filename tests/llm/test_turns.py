@@ -54,7 +54,7 @@ def test_index_meets_all_that_fit():
     for i, n in enumerate(names):
         index.add(i, n)
     for w in filter(None, labels):
-        assert {i for i, n in enumerate(names) if turns.fits_name(w, n) or turns.fits_spelling(w, n)} <= index.near(w)
+        assert {i for i, n in enumerate(names) if turns.fits_name(w, n)} <= index.same(w) and {i for i, n in enumerate(names) if turns.fits_spelling(w, n)} <= index.spelled(w)
 
 
 def test_strangers_cluster():
