@@ -71,7 +71,7 @@ _PHRASE = (
 # the first character is looked at before anything else: most places end there
 _TIME, _NOTE, _PHRASE = rf"(?=[<\[(@\d])(?:{_TIME})", rf"(?=[\[{{<*(♪♫])(?:{_NOTE})", rf"(?i)(?=[,ysbi])(?:{_PHRASE})"
 _NAME = r"(?:(?:Mr|Ms|Mrs|Dr|Prof)\.? )?\p{Lu}[\p{L}'’.-]*(?: \p{Lu}[\p{L}'’.-]*){0,3}"
-_SWITCH = rf"(^\s*|[.?!…\"”:;]\s+|\n\s*)({_NAME})(\s?(?::|\s[-–—])\s+)"
+_SWITCH = rf"(?=[\p{{Lu}}\s.?!…\"”:;])(^\s*|[.?!…\"”:;]\s+|\n\s*)({_NAME})(\s?(?::|\s[-–—])\s+)"
 _A, _B = "\x01", "\x02"
 
 
@@ -356,7 +356,7 @@ def label_table(labels: DataFrame, participants: DataFrame) -> DataFrame:
 
     What is gathered for a call is its roster and the different names in its labels.
     """
-    named = names_of(labels)
+    named = cut(names_of(labels))  # read for the calls and for the labels
     by_call = named.where("name is not null").groupBy(F.col("l_call").alias("call_id")).agg(F.collect_set("name").alias("names"))
     people = participants.groupBy(F.col("call_id").alias("p_call")).agg(F.collect_list(F.struct(F.col("participant_id").alias("id"), F.col("name").alias("name"), F.col("role").alias("role"))).alias("people"))
     rows = merge_join(by_call, people, F.col("call_id").eqNullSafe(F.col("p_call")), "left").select("call_id", "names", "people")
