@@ -18,7 +18,6 @@ input other than the named ones are ignored, whatever they are called.
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -29,6 +28,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import merge_join
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: States of the hidden-state pass. Hindi has one state for each script.
@@ -81,15 +82,14 @@ class PieceModel:
     unknown: float = -14.0
     cache_limit: int = 400_000
     _ids: dict[str, int] = field(default_factory=dict, repr=False)
-    _rows: list = field(default_factory=list, repr=False)
     _matrix: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"_ids": {}, "_rows": [], "_matrix": None}
+        return self.__dict__ | {"_ids": {}, "_matrix": None}
 
     def word(self, w: str) -> np.ndarray:
         """Log-probability of a word in every state, over all its segmentations."""
-        s = "▁" + w[:64]
+        s = "▁" + w
         n = len(s)
         at = [None] * (n + 1)
         at[0] = np.zeros(self.logp.shape[1])
@@ -116,22 +116,21 @@ class PieceModel:
                 if out[i] < 0:
                     if w not in known:
                         v = self.word(w)
-                        v = np.maximum(v - v.max(), -self.clip)  # one word decides nothing alone
-                        known[w] = len(self._rows)
-                        self._rows.append(v.astype(np.float32))
-                        self._matrix = None
+                        at = known[w] = len(known)
+                        if self._matrix is None:
+                            self._matrix = np.empty((1024, len(v)), dtype=np.float32)
+                        elif at == len(self._matrix):
+                            self._matrix = np.concatenate([self._matrix, np.empty_like(self._matrix)])
+                        self._matrix[at] = np.maximum(v - v.max(), -self.clip)  # one word decides nothing alone
                     out[i] = known[w]
         return out
 
     def matrix(self) -> np.ndarray:
-        if self._matrix is None or len(self._matrix) != len(self._rows):
-            self._matrix = np.array(self._rows, dtype=np.float32).reshape(-1, self.logp.shape[1])
         return self._matrix
 
     def make_room(self) -> None:
-        if len(self._rows) > self.cache_limit:
+        if len(self._ids) > self.cache_limit:
             self._ids.clear()
-            self._rows.clear()
             self._matrix = None
 
 
@@ -167,7 +166,7 @@ def fit(samples: Iterable[tuple[str, str]], vocabulary: list[str], rounds: int =
 
     def lattice(w: str) -> list[list[tuple[int, int]]]:
         if w not in lattices:
-            s = "▁" + w[:64]
+            s = "▁" + w
             lattices[w] = [[(a, table[s[a:b]]) for a in range(max(0, b - longest), b) if s[a:b] in table] for b in range(1, len(s) + 1)]
         return lattices[w]
 
@@ -205,14 +204,21 @@ def state_of_sample(lang: str, text: str) -> str:
     return "hi_deva" if _DEVANAGARI.search(text) else "hi_latn"
 
 
-def units_of(text: str) -> list[str]:
-    """Sentences and lines of a text that can carry a language: header lines, tables of numbers and bare names are left out."""
+#: Words from which on a line without an end mark is a sentence; shorter ones are headers, titles and names.
+SENTENCE_WORDS = 9
+
+
+def units_of(text: str, sentence_words: int = SENTENCE_WORDS) -> list[str]:
+    """Sentences and lines of a text that can carry a language: header lines, tables of numbers and bare names are left out.
+
+    A sentence ends in an end mark or has `sentence_words` words or more.
+    """
     out = []
     for u in _UNIT.split(text):
         if not u:
             continue
         u = _LABEL.sub("", u, count=1) if ":" in u else u
-        if _END.search(u) or len(u) > 60 and u.count(" ") >= 8:
+        if _END.search(u) or len(u.split()) >= sentence_words:
             out.append(u)
     return out
 
@@ -239,15 +245,19 @@ def decode(scores: np.ndarray, switch: float) -> np.ndarray:
 _LANG_NO = np.array([LANGS.index(LANG_OF[s]) for s in STATES])
 
 
-def segments_of(texts: list[str | None], model: PieceModel, switch: float = 9.0, temper: float = 0.25) -> list[list[tuple[str, float, int]]]:
-    """For each text its segments as (lang, confidence, characters scored)."""
+def segments_of(texts: list[str | None], model: PieceModel, switch: float = 9.0, sentence_words: int = SENTENCE_WORDS) -> list[list[tuple[str, float, int]]]:
+    """For each text its segments as (lang, confidence, characters scored).
+
+    The confidence is the probability of the language given the words of the segment, all
+    languages being equally likely before.
+    """
     docs: list[list[int]] = []  # per text the number of words of each unit
     sizes: list[list[int]] = []
     flat: list[str] = []
     for text in texts:
         lens: list[int] = []
         chars: list[int] = []
-        for u in units_of(text) if text else ():
+        for u in units_of(text, sentence_words) if text else ():
             w = words_of(u)
             if w:
                 flat += w
@@ -279,8 +289,7 @@ def segments_of(texts: list[str | None], model: PieceModel, switch: float = 9.0,
         for a, b in zip(cuts, cuts[1:]):
             total = own[a:b].sum(axis=0)
             k = int(langs[a])
-            # one tempered evidence for all segments; temper makes up for words that aren't independent
-            e = np.exp((total - total.max()) * temper / max(1.0, math.sqrt(float(lengths[at + a : at + b].sum()) / 8)))
+            e = np.exp(total - total.max())
             segments.append((LANGS[k], float(round(e[_LANG_NO == k].sum() / e.sum(), 6)), int(sum(chars[a:b]))))
         out.append(segments)
         at += n
@@ -291,38 +300,15 @@ def segments_of(texts: list[str | None], model: PieceModel, switch: float = 9.0,
 # --- Spark ----------------------------------------------------------------------------------------
 
 SWITCH = 6.0
-ADAPT_ROWS = 1500
-ADAPT_CHARS = 20_000
 
 
-def fit_model(samples: DataFrame, documents: DataFrame | None = None, vocabulary: str = DEFAULT_VOCABULARY, adapt_rows: int = ADAPT_ROWS) -> PieceModel:
-    """Fit on labelled samples (lang, text), a small fixed table, then on what the first model is sure of in a bounded sample of documents.
+def fit_model(samples: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> PieceModel:
+    """Fit on labelled samples (lang, text), a small fixed table that is read on the driver."""
+    rows = samples.where("lang is not null and text is not null").select("lang", "text").collect()
+    return fit([(state_of_sample(r["lang"], r["text"]), r["text"]) for r in rows if r["lang"] in LANGS], load_vocabulary(vocabulary))
 
-    The sample of documents takes `adapt_rows` rows in the order of a hash of
-    doc_id, texts of up to ADAPT_CHARS characters; it serves the fit only.
-    """
-    labelled = [(state_of_sample(r["lang"], r["text"]), r["text"]) for r in samples.where("lang is not null and text is not null").select("lang", "text").collect() if r["lang"] in LANGS]
-    pieces = load_vocabulary(vocabulary)
-    model = fit(labelled, pieces)
-    if documents is None or not adapt_rows:
-        return model
-    ids = documents.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(adapt_rows)
-    texts = documents.join(F.broadcast(ids.withColumnRenamed("doc_id", "__id")), F.col("doc_id") == F.col("__id"), "left_semi").where(F.length("text") <= ADAPT_CHARS).select("text")
-    units = sorted({u for r in texts.limit(2 * adapt_rows).collect() for u in units_of(r["text"])})
-    own = []
-    for u in units:
-        words = words_of(u)
-        if len(words) < 5:
-            continue
-        total = model.matrix()[model.ids(words)].sum(axis=0) if model.ids(words) else None
-        by = np.array([max(total[k] for k in range(len(STATES)) if _LANG_NO[k] == i) for i in range(len(LANGS))])
-        best, second = np.sort(by)[::-1][:2]
-        if best - second >= 10:
-            own.append((STATES[int(total.argmax())], u))
-    return fit(labelled + own, pieces)
 
-
-def segments(documents: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text", label: str | None = "lang", switch: float = SWITCH) -> DataFrame:
+def segments(documents: DataFrame, model: PieceModel, key: str = "doc_id", text: str = "text", label: str | None = "lang", switch: float = SWITCH, sentence_words: int = SENTENCE_WORDS) -> DataFrame:
     """(key, declared, segments, seg_no, lang, confidence, chars): one row for each segment of each document.
 
     declared: the language the label names, null if none; segments: their number in the document.
@@ -337,7 +323,7 @@ def segments(documents: DataFrame, model: PieceModel, key: str = "doc_id", text:
 
         own = shared.value
         for batch in batches:
-            found = segments_of(batch.column(2).to_pylist(), own, switch)
+            found = segments_of(batch.column(2).to_pylist(), own, switch, sentence_words)
             at = [i for i, s in enumerate(found) for _ in s]
             take = pa.array(at, pa.int64())
             flat = [(len(s), no, *x) for s in found for no, x in enumerate(s, 1)]
@@ -353,3 +339,15 @@ def segments(documents: DataFrame, model: PieceModel, key: str = "doc_id", text:
 def wrong_or_mixed(found: DataFrame) -> DataFrame:
     """Segments of the documents whose label is missing or wrong or that hold several languages."""
     return found.where(F.col("declared").isNull() | (F.col("segments") > 1) | (F.col("declared") != F.col("lang")))
+
+
+def documents_of(documents: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, lang, confidence, segments): one row for each key of `documents`, by the language that most of its characters are in.
+
+    The confidence is that of its longest segment. Documents without a sentence have a null language and 0 segments.
+    """
+    by_lang = found.groupBy(F.col(key).alias("__k"), "lang").agg(F.sum("chars").alias("chars"), F.max(F.struct("chars", "confidence"))["confidence"].alias("confidence"), F.count("*").alias("n"))
+    main = by_lang.groupBy("__k").agg(F.max(F.struct("chars", "lang", "confidence")).alias("m"), F.sum("n").alias("segments"))
+    every = documents.select(key).distinct()
+    rows = merge_join(every, main, F.col(key).eqNullSafe(F.col("__k")), "left")
+    return rows.select(key, F.col("m.lang").alias("lang"), F.col("m.confidence").alias("confidence"), F.coalesce("segments", F.lit(0)).alias("segments"))

@@ -65,23 +65,21 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(_mixed(spark, d), table(spark, d, "mix_targets"))
 
 
-def _segments(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    model = langid.fit_model(table(spark, d, "lang_samples"), docs)
-    return langid.segments(docs, model)
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    return langid.segments(table(spark, d, "documents"), langid.fit_model(table(spark, d, "lang_samples")))
 
 
-def p8_segments(spark: SparkSession, d: str) -> DataFrame:
-    return _segments(spark, d)
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    return langid.documents_of(table(spark, d, "documents"), p8_segments(spark, d))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return langid.wrong_or_mixed(_segments(spark, d)).select("doc_id", "seg_no", "lang")
+    return langid.wrong_or_mixed(p8_segments(spark, d)).select("doc_id", "seg_no", "lang")
 
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_turns, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_forms, p6_pack, p7_mix, p7_shares, p8_found, p8_segments)
+    for f in (p1_found, p1_turns, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_forms, p6_pack, p7_mix, p7_shares, p8_found, p8_segments, p8_documents)
 }
 
 _ALIKE = r"""

@@ -75,7 +75,38 @@ def test_rows(spark, model):
     assert langid.segments(df, model).where("doc_id = 1").count() == 2 and langid.segments(df.limit(0), model).count() == 0
 
 
-def test_adapting_reads_a_bounded_sample(spark, small):
-    docs = table(spark, small, "documents")
-    m = langid.fit_model(table(spark, small, "lang_samples"), docs, adapt_rows=20)
-    assert isinstance(m, langid.PieceModel)
+def test_documents(spark, model):
+    de, en = "Die Finanzleitung rechnet mit einer Marge zwischen 7 und 9 Prozent.", "Our range should grow."
+    df = spark.createDataFrame([(1, f"{en} {de}"), (2, "Q2 FY26"), (3, None), (None, de)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang"], r["segments"]) for r in langid.documents_of(df, langid.segments(df, model, label=None)).collect()}
+    assert got == {1: ("de", 2), 2: (None, 0), 3: (None, 0), None: ("de", 1)}
+
+
+def test_sentences_without_end_marks():
+    line = "unsere neue linie in jaipur soll ab april laufen"
+    assert langid.units_of(line) == [line] and langid.units_of("Asha Works Limited Q2 FY26") == [] and langid.units_of("Asha Works", 2) == ["Asha Works"]
+    assert langid.units_of("\n".join([line] * 3000)) == [line] * 3000
+
+
+def test_confidence_is_calibrated(labelled):
+    """Parts of held-out samples, from one word up: what is said with a confidence is right so often."""
+    pieces = langid.load_vocabulary()
+    said, right = [], []
+    for fold in range(4):
+        m = langid.fit([(langid.state_of_sample(a, b), b) for i, (a, b) in enumerate(labelled) if i % 4 != fold], pieces)
+        for a, b in labelled[fold::4]:
+            words = langid.words_of(b)
+            parts = [" ".join(words[k : k + n]) + "." for n in (1, 2, 3, 5) for k in range(0, len(words) - n + 1, n)]
+            for (lang, confidence, _), *_rest in langid.segments_of(parts, m):
+                said.append(confidence)
+                right.append(lang == a)
+    said, right = np.array(said), np.array(right)
+    bins = np.digitize(said, np.arange(0.2, 1, 0.1))
+    error = sum(abs(said[bins == k].mean() - right[bins == k].mean()) * (bins == k).mean() for k in np.unique(bins))
+    assert error < 0.03 and abs(said.mean() - right.mean()) < 0.02
+
+
+def test_very_long_words(model):
+    """Words are scored whole, however long."""
+    a, b = (model.word("a" * 70 + end) for end in ("ung", "ção"))
+    assert not np.allclose(a - a.max(), b - b.max())
