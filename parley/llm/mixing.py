@@ -10,8 +10,7 @@ The total size of the mixture is the largest one that every source can feed
 within its cap, or a given number of tokens; with a given one, a source at its
 cap falls short and the report says so. Documents are ordered by size within
 salted blocks, so the documents taken once more are of all sizes and the actual
-share stays close to the target. Of a fixed number of random offsets the one is
-kept whose tokens come nearest to the target.
+share stays close to the target; the report says how close.
 
 Defined results: a document of an unknown or null source, or of a source
 without a target, is taken 0 times. Null and empty texts have no tokens and are
@@ -21,15 +20,13 @@ with 0. Rows with equal keys are documents of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import merge_join
 
 #: Size classes to an octave, and salted blocks within a class, of the order within a source.
 CLASSES, SALTS = 8, 64
-#: Random offsets tried for each source.
-OFFSETS = 32
 
 
 def rates(docs: DataFrame, targets: DataFrame, size: str = "n_tokens", total_tokens: float | None = None) -> DataFrame:
@@ -59,20 +56,13 @@ def copies(docs: DataFrame, targets: DataFrame, key: str, size: str = "n_tokens"
     sizes = rows.groupBy(F.col("source").alias("__s"), F.col("__block").alias("__b")).agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    rows = rows.withColumn("__no", number).join(sizes, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
+    # rows without a source have no number and are taken 0 times
+    rows = merge_join(rows.withColumn("__no", number), sizes, (F.col("source") == F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
     # every document of a source has the same expected copies, so the prefix sum up to a document is its number times the rate
-    rows = cut(rows.select(key, "source", size, "rate", (F.col("__no") + F.col("__before")).alias("__k")))
-
-    def crossed(offset: Column) -> Column:
-        upto = lambda k: F.floor(k.cast("double") * F.col("rate") + offset)
-        return (upto(F.col("__k")) - upto(F.col("__k") - 1)).cast("int")
-
-    draw = lambda j: (F.pmod(F.xxhash64(F.lit(seed), F.lit(j), "source"), F.lit(1_000_003)) / F.lit(1_000_003)).cast("double")
-    tried = rows.groupBy("source").agg(F.sum(F.col("rate") * F.col(size)).alias("want"), *(F.sum(crossed(draw(j)) * F.col(size)).alias(f"t{j}") for j in range(OFFSETS)))
-    best = F.array_min(F.array(*(F.struct(F.abs(F.col(f"t{j}") - F.col("want")).alias("off"), F.lit(j).alias("j"), draw(j).alias("offset")) for j in range(OFFSETS))))
-    chosen = tried.select(F.col("source").alias("__s"), best["offset"].alias("__offset"))
-    rows = rows.join(chosen, F.col("source").eqNullSafe(F.col("__s")), "left")
-    return rows.select(key, "source", size, F.coalesce(crossed(F.col("__offset")), F.lit(0)).alias("copies"))
+    offset = F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1_000_003)) / F.lit(1_000_003)  # one for each source
+    upto = lambda k: F.floor(k.cast("double") * F.col("rate") + offset)
+    k = F.col("__no") + F.col("__before")
+    return rows.select(key, "source", size, F.coalesce((upto(k) - upto(k - 1)).cast("int"), F.lit(0)).alias("copies"))
 
 
 def shares(taken: DataFrame, targets: DataFrame, size: str = "n_tokens") -> DataFrame:
@@ -83,4 +73,5 @@ def shares(taken: DataFrame, targets: DataFrame, size: str = "n_tokens") -> Data
     t = targets.select("source", "target_share", "max_repeats").join(by, F.col("source") == F.col("__source"), "left").drop("__source")
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("docs", "tokens", "docs_taken", "tokens_taken", "most_copies")}
     t = t.withColumns(zero)
-    return t.withColumn("actual_share", F.coalesce(F.expr("try_divide(tokens_taken, sum(tokens_taken) over (partition by 1))"), F.lit(0.0)))
+    t = t.withColumn("actual_share", F.coalesce(F.expr("try_divide(tokens_taken, sum(tokens_taken) over (partition by 1))"), F.lit(0.0)))
+    return t.withColumn("share_error", F.col("actual_share") - F.col("target_share"))

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import merge_join
+
 BLOCKS = 64
 
 
@@ -158,7 +160,7 @@ def slots(plan: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 
 def numbered(df: DataFrame, group: str, order: list[str], blocks: int = BLOCKS) -> DataFrame:
-    """`item_no` from 0 within each group, without a task that holds a whole group.
+    """`item_no` from 0 within each group (not null), without a task that holds a whole group.
 
     Rows are numbered within (group, block), a block being a hash of the order
     columns; the few block sizes are summed up over the blocks and joined back.
@@ -168,7 +170,7 @@ def numbered(df: DataFrame, group: str, order: list[str], blocks: int = BLOCKS)
     sizes = rows.groupBy(F.col(group).alias("__group"), F.col("__block").alias("__b")).agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__group").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    joined = rows.withColumn("__within", within).join(offsets, (F.col(group).eqNullSafe(F.col("__group"))) & (F.col("__block") == F.col("__b")))
+    joined = merge_join(rows.withColumn("__within", within), offsets, (F.col(group) == F.col("__group")) & (F.col("__block") == F.col("__b")))
     return joined.withColumn("item_no", F.col("__within") + F.col("__before")).drop("__block", "__within", "__group", "__b", "__before")
 
 
