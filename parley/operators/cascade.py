@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from . import fiscal, values
 
 #: An absolute revenue target that implies more growth a year than this is a mislabelled figure.
@@ -26,7 +27,7 @@ def driver_class(metric: Column) -> Column:
 
 def block_of(horizon: Column) -> Column:
     """near, or long for medium and long."""
-    return F.when(horizon == "near", "near").when(horizon.isin("medium", "long"), "long")
+    return let(horizon, lambda h: F.when(h == "near", "near").when(h.isin("medium", "long"), "long"))
 
 
 def ranked_drivers(items: DataFrame, by_page: bool = True, multiples: bool = False) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
+
 #: Least number of years a target is away, so that growth stays finite.
 YEARS_FLOOR = 0.25
 # Parts of a year in the order in which they are looked for, and the years they end before the fiscal year's end.
@@ -33,41 +35,46 @@ def _int(c: Column) -> Column:
 
 def century(y: Column) -> Column:
     """A two-digit year in the 2000s; larger numbers stay."""
-    return F.when(y > 100, y).otherwise(y + 2000)
+    return let(y, lambda v: F.when(v > 100, v).otherwise(v + 2000))
 
 
 def _found(c: Column, pattern: str, group: int = 1) -> Column:
-    x = F.regexp_extract(c, pattern, group)
-    return F.when(x != "", x)
+    return let(F.regexp_extract(c, pattern, group), lambda x: F.when(x != "", x))
 
 
 def period_year(period: Column) -> Column:
     """The first fiscal year named in a call period: 'Q4 FY24' -> 2024."""
-    y = _int(_found(period, r"(?i)FY\s*(\d{2,4})"))
-    return F.when(y > 100, y).otherwise(y + 2000)
+    return century(_int(F.regexp_extract(period, r"(?i)FY\s*(\d{2,4})", 1)))
 
 
 def trailing_year(text: Column) -> Column:
     """The year from the last two to four digits of a text that ends in them."""
-    return century(_int(_found(F.trim(text), r"(\d{2,4})$")))
+    return century(_int(F.regexp_extract(F.trim(text), r"(\d{2,4})$", 1)))
 
 
 def year_range(timeline: Column) -> Column:
     """struct(lo, hi) of fiscal years: 'FY28-29' -> (2028, 2029), 'H1 FY27' -> (2027, 2027); nulls if it tells none."""
     plain = F.trim(F.regexp_replace(F.coalesce(timeline, F.lit("")), r"(?i)\b(H[12]|Q[1-4])\s*", ""))
     pair = r"(?i)FY\s*(\d{2,4})\s*[-–]\s*(?:FY\s*)?(\d{2,4})"
-    a, b = (century(_int(_found(plain, pair, g))) for g in (1, 2))
-    one = trailing_year(plain)
-    return F.struct(F.when(a.isNotNull(), F.least(a, b)).otherwise(one).alias("lo"), F.when(a.isNotNull(), F.greatest(a, b)).otherwise(one).alias("hi"))
+
+    def years(p: Column) -> Column:
+        a, b = (century(_int(F.regexp_extract(p, pair, g))) for g in (1, 2))
+        return let(F.array_compact(F.array(a, b)), lambda two: F.when(F.size(two) > 0, two).otherwise(F.array(trailing_year(p))))
+
+    found = let(plain, years)
+    return F.struct(F.array_min(found).alias("lo"), F.array_max(found).alias("hi"))
 
 
 def part_offset(timeline: Column) -> Column:
     """Years by which the part of a year named first in the order of PART_OFFSETS ends early; 0 for whole years and null."""
-    t = F.upper(F.coalesce(timeline, F.lit("")))
-    out = None
-    for part, years in PART_OFFSETS:
-        out = F.when(t.contains(part), F.lit(years)) if out is None else out.when(t.contains(part), F.lit(years))
-    return out.otherwise(F.lit(0.0))
+
+    def offset(t: Column) -> Column:
+        out = F.lit(0.0)
+        for part, years in reversed(PART_OFFSETS):
+            out = F.when(t.contains(part), F.lit(years)).otherwise(out)
+        return out
+
+    return let(F.upper(F.coalesce(timeline, F.lit(""))), offset)
 
 
 def years_until(year: Column, call_year: Column, timeline: Column) -> Column:
@@ -77,15 +84,14 @@ def years_until(year: Column, call_year: Column, timeline: Column) -> Column:
 
 def horizon(timeline: Column, call_year: Column) -> Column:
     """near, medium or long by the last year of the timeline; timelines without a year are near."""
-    away = year_range(timeline)["hi"] - call_year
-    return F.when(away > 2, "long").when(away == 2, "medium").otherwise("near")
+    return let(year_range(timeline)["hi"] - call_year, lambda away: F.when(away > 2, "long").when(away == 2, "medium").otherwise("near"))
 
 
 def base_year(period: Column, default: int = 2024) -> Column:
     """The last complete fiscal year at a call: the call's own for Q4, else the one before; `default` if it can't be read."""
-    q, y = (_int(_found(period, r"(?i)Q\s*([1-4])\s*FY\s*'?(\d{2,4})", g)) for g in (1, 2))
-    y = F.when(y < 100, y + 2000).otherwise(y)
-    return F.coalesce(F.when(q == 4, y).otherwise(y - 1), F.lit(default))
+    q, y = (_int(F.regexp_extract(period, r"(?i)Q\s*([1-4])\s*FY\s*'?(\d{2,4})", g)) for g in (1, 2))
+    full = let(y, lambda v: F.when(v < 100, v + 2000).otherwise(v))
+    return F.coalesce(full - F.when(q == 4, 0).otherwise(1), F.lit(default))
 
 
 def fiscal_year2(day: Column) -> Column:
@@ -144,23 +150,26 @@ def part_of_year(text: Column) -> Column:
 
 def normalize_timeline(raw: Column, day: Column) -> Column:
     """A free timeline as 'FY27', 'H1 FY27' or 'Q3 FY27', relative words counted from a day; other texts come back trimmed."""
-    s = F.trim(raw)
-    low = F.lower(s)
-    fy, q = fiscal_year2(day), fiscal_quarter(day)
     label = lambda part, year: F.concat(part, F.lit("FY"), F.lpad(year.cast("string"), 2, "0"))
-    next_q = q % 4 + 1
-    year, part = year2(s, day), part_of_year(s)
-    n = _int(F.substring(part, 2, 1))
-    last_q = F.when(part.startswith("H"), n * 2).otherwise(n)
-    named = F.concat(part, F.lit(" "))
-    return (
-        F.when(s == "", s)
-        .when(low.rlike(r"\b(next|coming|upcoming)\s+quarter\b"), label(F.concat(F.lit("Q"), next_q.cast("string"), F.lit(" ")), F.when(next_q > q, fy).otherwise(fy + 1)))
-        .when(low.rlike(r"\b(this|current)\s+quarter\b"), label(F.concat(F.lit("Q"), q.cast("string"), F.lit(" ")), fy))
-        .when(year.isNotNull(), label(F.coalesce(named, F.lit("")), year))
-        .when(part.isNotNull(), label(named, F.when(last_q >= q, fy).otherwise(fy + 1)))
-        .otherwise(s)
-    )
+
+    def told(t: Column) -> Column:
+        s, low, fy, q, year, part = (t[c] for c in ("s", "low", "fy", "q", "year", "part"))
+        next_q = q % 4 + 1
+        n = _int(F.substring(part, 2, 1))
+        last_q = F.when(part.startswith("H"), n * 2).otherwise(n)
+        named = F.concat(part, F.lit(" "))
+        return (
+            F.when(s == "", s)
+            .when(low.rlike(r"\b(next|coming|upcoming)\s+quarter\b"), label(F.concat(F.lit("Q"), next_q.cast("string"), F.lit(" ")), F.when(next_q > q, fy).otherwise(fy + 1)))
+            .when(low.rlike(r"\b(this|current)\s+quarter\b"), label(F.concat(F.lit("Q"), q.cast("string"), F.lit(" ")), fy))
+            .when(year.isNotNull(), label(F.coalesce(named, F.lit("")), year))
+            .when(part.isNotNull(), label(named, F.when(last_q >= q, fy).otherwise(fy + 1)))
+            .otherwise(s)
+        )
+
+    s = F.trim(raw)
+    parts = F.struct(s.alias("s"), F.lower(s).alias("low"), fiscal_year2(day).alias("fy"), fiscal_quarter(day).alias("q"), year2(s, day).alias("year"), part_of_year(s).alias("part"))
+    return let(parts, told)
 
 
 def years_spanned(timeline: Column) -> Column:

@@ -18,9 +18,10 @@ from .text import strip_page
 OPENING_WORDS = 600
 LEAST_TURNS = 5
 # Words that look like a speaker but open a paragraph, and the labels of roster blocks in their order.
-NO_SPEAKER = frozenset(
-    "Note Disclaimer Background Summary Conclusion Important Update Result Overview Outlook Please Date Venue Time Subject Dear Thanks Regards Encl Sir Madam Yours".split()
-)
+NO_SPEAKER = (
+    "Note", "Disclaimer", "Background", "Summary", "Conclusion", "Important", "Update", "Result", "Overview", "Outlook", "Please", "Date",
+    "Venue", "Time", "Subject", "Dear", "Thanks", "Regards", "Encl", "Sir", "Madam", "Yours",
+)
 ROSTER_BLOCKS = ("MANAGEMENT", "PARTICIPANTS", "PARTICIPANT", "SPEAKERS", "SPEAKER")
 # Where a roster block ends, how a paragraph names its speaker, and how a roster names a person.
 _BLOCK_END = r"(?=^[ \t]*(?:MANAGEMENT|MODERATOR|ANALYST|PARTICIPANTS?|SPEAKERS?)\s*:|\z)"

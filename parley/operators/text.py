@@ -30,12 +30,15 @@ STATUTORY = (
     r"statement\s+of\s+profit\s+and\s+loss|notes\s+to\s+the\s+(?:standalone\s+|consolidated\s+)?financial\s+statements|cash\s+flow\s+statement|corporate\s+governance\s+report"
 )
 # Lines that only furnish a page, and a page number beside a bar.
-FURNITURE = (r"(?i)^(MONTHS)\s+\d{1,2},?\s+\d{4}$", r"(?i)^.+\b(Limited|Ltd\.?|Inc\.?|Corp\.?|Pvt\.?)$", r"(?i)^Page\s+\d+\s+of\s+\d+$")
+FURNITURE = (
+    r"(?i)^(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d{4}$",
+    r"(?i)^.+\b(Limited|Ltd\.?|Inc\.?|Corp\.?|Pvt\.?)$",
+    r"(?i)^Page\s+\d+\s+of\s+\d+$",
+)
 PAGE_BAR = r"^\d+\s*\|$|^\|\s*\d+$"
 # Bounds of the classifier.
 MAX_PAGES = 70
 DENSE, NO_TEXT = 1500, 400
-MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 
 
 def collapse(text: Column) -> Column:
@@ -150,7 +153,7 @@ def file_verdict(size: Column, magic: Column, pages: Column, text: Column, min_p
 def is_page_furniture(line: Column) -> Column:
     """Whether a line is only a date, a company name or a page number."""
     day, company, number = FURNITURE
-    return line.rlike(day.replace("MONTHS", MONTHS)) | line.rlike(company) | line.rlike(number)
+    return line.rlike(day) | line.rlike(company) | line.rlike(number)
 
 
 def strip_page(page: Column) -> Column:

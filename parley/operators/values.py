@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
+
 NUMBER = r"\d+(?:\.\d+)?"
 # The profit and loss metrics.
 CREDIBLE = ("revenue_absolute", "revenue_growth_pct", "ebitda_margin_pct", "pat_absolute", "pat_growth_pct", "pbt_margin_pct", "eps_absolute")
@@ -17,7 +19,7 @@ NUMBER_WORDS = ("one", "two", "three", "four", "five", "six", "seven", "eight",
 
 
 def _double(c: Column) -> Column:
-    return F.when(c != "", c).try_cast("double")
+    return c.try_cast("double")  # null for an empty text
 
 
 def bounds(value: Column, multiples: bool = False) -> Column:
@@ -86,9 +88,9 @@ def crore_factor(unit: Column, currency: Column, usdinr: Column) -> Column:
     """What turns an amount into rupee crores; 1 for percent, multiples and bare numbers, null for unknown units."""
     plain = {"": 1.0, "%": 1.0, "times": 1.0}
     crores = {"crore": 1.0, "lakh": 0.01, "million": 0.1, "billion": 100.0}
-    factor = F.try_element_at(F.create_map(*[F.lit(x) for pair in {**crores, **plain}.items() for x in pair]), unit_word(unit))
-    dollars = (F.upper(F.coalesce(currency, F.lit(""))) == "USD") & unit_word(unit).isin(*crores)
-    return factor * F.when(dollars, usdinr).otherwise(F.lit(1.0))
+    usd = F.upper(F.coalesce(currency, F.lit(""))) == "USD"
+    factors = F.create_map(*[F.lit(x) for pair in {**crores, **plain}.items() for x in pair])
+    return let(unit_word(unit), lambda u: F.try_element_at(factors, u) * F.when(usd & u.isin(*crores), usdinr).otherwise(F.lit(1.0)))
 
 
 def to_crore(value: Column, unit: Column, currency: Column, usdinr: Column) -> Column:
