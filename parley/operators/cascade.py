@@ -107,6 +107,16 @@ def block_growth(items: DataFrame, fundamentals: DataFrame, convert: bool = True
     return found.groupBy("company", "block").agg(best.alias("b")).select("company", "block", "b.base", "b.bull", "b.basis")
 
 
+def call_year(file_name: Column, header: Column, default: int = 2026) -> Column:
+    """struct(fy, source, mismatch): the fiscal year of a call from the name of its file, else from its header, else the default.
+
+    mismatch: both name a year and they differ.
+    """
+    named, told = fiscal.period_year(file_name), fiscal.period_year(header)
+    source = F.when(named.isNotNull(), "file").when(told.isNotNull(), "header").otherwise("default")
+    return F.struct(F.coalesce(named, told, F.lit(default)).alias("fy"), source.alias("source"), F.coalesce(named != told, F.lit(False)).alias("mismatch"))
+
+
 def by_block(growth: DataFrame) -> DataFrame:
     """One row for each company: near_base, near_bull, long_base, long_bull."""
     at = lambda block, c: F.max(F.when(F.col("block") == block, F.col(c))).alias(f"{block}_{c}")

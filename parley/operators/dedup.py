@@ -89,3 +89,31 @@ def latest_quarters(df: DataFrame, key: str, fy: str, quarter: str, n: int, bloc
     for by in ([key, "__salt"], [key]):
         rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
     return rows.drop("__salt")
+
+
+def attachment_candidates(filings: DataFrame) -> DataFrame:
+    """Filings (key, attachment, headline, size) that may hold a transcript, one for each attachment, with `place` from the best on.
+
+    A headline that says transcript comes first, then one that doesn't speak of a recording,
+    then the larger file, then by name.
+    """
+    low = F.lower(F.coalesce("headline", F.lit("")))
+    rows = filings.where("attachment is not null").withColumns({"says": low.contains("transcript"), "written": ~(low.contains("audio") | low.contains("recording")), "size": F.coalesce("size", F.lit(0))})
+    order = [F.col("says").desc(), F.col("written").desc(), F.col("size").desc(), F.col("attachment")]
+    once = first_by(rows, ["key", "attachment"], order)
+    return once.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(*order))).drop("says", "written")
+
+
+def cohort(master: DataFrame, cap: str, most: float, known: float | None = None) -> DataFrame:
+    """`master` with status: unresolved without a market cap, cohort up to `most`, else over_cap.
+
+    known: companies above it are left out beforehand, those without a cap stay.
+    """
+    rows = master if known is None else master.where(F.col(cap).isNull() | (F.col(cap) <= known))
+    return rows.withColumn("status", F.when(F.col(cap).isNull(), "unresolved").when(F.col(cap) <= most, "cohort").otherwise("over_cap"))
+
+
+def chosen(rows: DataFrame, key: str, keys: list[str] | None = None, sample: int | None = None, limit: int | None = None) -> DataFrame:
+    """All rows, those with the given keys, or a stride sample in the order of the key; `limit` keeps the first of them by key."""
+    out = rows.where(F.col(key).isin(*keys)) if keys is not None else stride_sample(rows, sample, [F.col(key)]) if sample is not None else rows
+    return out if limit is None else out.orderBy(key).limit(limit)

@@ -222,33 +222,88 @@ def union_runs(items: DataFrame, threshold: float = 0.85) -> DataFrame:
     return fold_groups(items, ["chunk"], ["run", "ord", "passage"], merge, {"ord": kind, "kept_as": kind})
 
 
-def containing_chunk(passages: DataFrame, chunks: DataFrame) -> DataFrame:
+def anchors(part: Column, length: int = 80) -> Column:
+    """The beginning of a part of a passage, by which it is looked up where its end was edited."""
+    return F.substring(part, 1, length)
+
+
+def containing_chunk(passages: DataFrame, chunks: DataFrame, anchor: int | None = None) -> DataFrame:
     """(doc, ord, chunk_no): for each passage the first chunk of its document that holds all its parts, null for none.
 
+    anchor: a passage that no chunk holds whole is looked up by the first `anchor` characters of each part.
     passages: doc, ord, parts (array); chunks: doc, chunk_no, text. An equi-join on
     the document with the containment as its filter; partial minima before the shuffle.
     """
     p = passages.select("doc", "ord", "parts")
     c = chunks.select(F.col("doc").alias("__d"), "chunk_no", "text")
-    hits = p.join(c, F.col("doc") == F.col("__d")).where((F.size("parts") > 0) & F.forall("parts", lambda x: F.contains(F.col("text"), x)))
-    first = hits.groupBy(F.col("doc").alias("__d"), F.col("ord").alias("__o")).agg(F.min("chunk_no").alias("chunk_no"))
+    holds = lambda part: F.forall("parts", lambda x: F.contains(F.col("text"), part(x)))
+    found = holds(lambda x: x) if anchor is None else holds(lambda x: anchors(x, anchor))
+    hits = p.join(c, F.col("doc") == F.col("__d")).where((F.size("parts") > 0) & found)
+    whole = F.lit(True) if anchor is None else holds(lambda x: x)
+    first = hits.groupBy(F.col("doc").alias("__d"), F.col("ord").alias("__o")).agg(F.coalesce(F.min(F.when(whole, F.col("chunk_no"))), F.min("chunk_no")).alias("chunk_no"))
     return p.join(first, (F.col("doc") == F.col("__d")) & (F.col("ord") == F.col("__o")), "left").select("doc", "ord", "chunk_no")
 
 
+def _similar(a: Column, b: Column, floor: float) -> Column:
+    """difflib ratio of two texts where it is above `floor`, else 0."""
+
+    def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for x, y in batches:
+            yield pd.Series([similarity_above(p, q, floor) for p, q in zip(x, y)], dtype="float64")
+
+    return pandas_udf(ratio, "double")(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
+
+
 def best_match(truth: DataFrame, found: DataFrame) -> DataFrame:
     """(doc, ord, found_ord, mode, score): the best of a document's extracted passages for each true one.
 
     Ladder: contained, contained without labels, similar above 0.65, similar above 0.85
-    without labels; within a step the most similar, the first among equals.
+    without labels; within a step the most similar, the first among equals. Only true
+    passages that none contains, or is contained in, are compared by similarity, and
+    pairs that bounds on it rule out are not compared in full.
     Both tables: doc, ord, text, bare (without labels).
     """
     f = found.select(F.col("doc").alias("__d"), F.col("ord").alias("found_ord"), F.col("text").alias("__text"), F.col("bare").alias("__bare"))
     both = truth.join(f, F.col("doc") == F.col("__d"))
     either = lambda a, b: F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a))
-    both = both.withColumns({"score": passage_similarity(F.col("text"), F.col("__text")), "bare_score": passage_similarity(F.col("bare"), F.col("__bare"))})
-    step = F.when(either("text", "__text"), 1).when(either("bare", "__bare"), 2).when(F.col("score") > 0.65, 3).when(F.col("bare_score") > 0.85, 4)
-    both = both.withColumn("step", step).where("step is not null")
+    held = both.withColumn("step", F.when(either("text", "__text"), 1).when(either("bare", "__bare"), 2))
+    inside = held.where("step is not null").select("doc", "ord", "found_ord", "step", passage_similarity(F.col("text"), F.col("__text")).alias("score"))
+    done = inside.select(F.col("doc").alias("__i"), F.col("ord").alias("__o")).distinct()
+    rest = truth.join(done, (F.col("doc") == F.col("__i")) & (F.col("ord") == F.col("__o")), "left_anti").join(f, F.col("doc") == F.col("__d"))
+    rest = rest.select("doc", "ord", "found_ord", "bare", "__bare", _similar(F.col("text"), F.col("__text"), 0.65).alias("score"), "text", "__text")
+    near = rest.where("score > 0").select("doc", "ord", "found_ord", F.lit(3).alias("step"), "score")
+    far = rest.where("score = 0").withColumn("bare_score", _similar(F.col("bare"), F.col("__bare"), 0.85)).where("bare_score > 0")
+    far = far.select("doc", "ord", "found_ord", F.lit(4).alias("step"), passage_similarity(F.col("text"), F.col("__text")).alias("score"))
     pick = F.min_by(F.struct("found_ord", "step", "score"), F.struct("step", -F.col("score"), "found_ord"))
-    best = both.groupBy("doc", "ord").agg(pick.alias("m"))
+    best = inside.unionByName(near).unionByName(far).groupBy("doc", "ord").agg(pick.alias("m"))
     names = F.element_at(F.array(*map(F.lit, ("contained", "contained_bare", "similar", "similar_bare"))), F.col("m.step"))
     return best.select("doc", "ord", "m.found_ord", names.alias("mode"), "m.score")
+
+
+def two_level_recall(best: DataFrame, pairs: DataFrame, reference: DataFrame, found: DataFrame, least: float = 0.85, tolerance: float = 0.10) -> DataFrame:
+    """(doc, ord, passage_found, matched, reason): what became of each reference item.
+
+    passage_found: its best passage (`best` of best_match) is contained or more than `least` similar;
+    matched: it is in `pairs`, the full matches. reason of a miss: 'passage not found', else the first
+    of metric, timeline and value in which the item of its best passage differs.
+    """
+    from .values import within
+
+    tell = lambda t, s: t.select(F.col("doc").alias(f"__{s}d"), F.col("ord").alias(f"__{s}o"), *(F.col(c).alias(f"{s}_{c}") for c in ("metric", "timeline", "mid")))
+    same = lambda d, o, s: (F.col(d) == F.col(f"__{s}d")) & F.col(o).eqNullSafe(F.col(f"__{s}o"))
+    rows = reference.select("doc", "ord").join(tell(reference, "r"), same("doc", "ord", "r"))
+    b = best.select(F.col("doc").alias("__bd"), F.col("ord").alias("__bo"), "found_ord", "mode", "score")
+    rows = rows.join(b, (F.col("doc") == F.col("__bd")) & (F.col("ord") == F.col("__bo")), "left").join(tell(found, "f"), same("doc", "found_ord", "f"), "left")
+    p = pairs.select(F.col("doc").alias("__pd"), F.col("ref_ord").alias("__po")).distinct()
+    rows = rows.join(p, (F.col("doc") == F.col("__pd")) & (F.col("ord") == F.col("__po")), "left")
+    got = F.coalesce(F.col("mode").startswith("contained") | (F.col("score") > least), F.lit(False))
+    full = F.col("__po").isNotNull()
+    differs = lambda c: ~F.col(f"r_{c}").eqNullSafe(F.col(f"f_{c}"))
+    reason = F.when(full, F.lit(None).cast("string")).when(~got, "passage not found").when(differs("metric"), "metric mismatch").when(differs("timeline"), "timeline mismatch").when(~within(F.col("r_mid"), F.col("f_mid"), tolerance), "value mismatch").otherwise("taken by another")
+    return rows.select("doc", "ord", got.alias("passage_found"), full.alias("matched"), reason.alias("reason"))
+
+
+def recall_report(told: DataFrame, least: float = 0.70) -> DataFrame:
+    """(doc, items, passage_recall, full_recall, gap, accepted) of two_level_recall; accepted: the recall of passages reaches `least`."""
+    by = told.groupBy("doc").agg(F.count("*").alias("items"), F.avg(F.col("passage_found").cast("int")).alias("passage_recall"), F.avg(F.col("matched").cast("int")).alias("full_recall"), F.count_if(F.col("passage_found") & ~F.col("matched")).alias("gap"))
+    return by.withColumn("accepted", F.col("passage_recall") >= least)

@@ -8,11 +8,14 @@ Python; the session numbers themselves are windows.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import merge_join
+from .match import fold_groups
 from .text import strip_page
 
 OPENING_WORDS = 600
@@ -146,9 +149,9 @@ def sessions(turns: DataFrame) -> DataFrame:
     rows = turns.withColumns({"__a": analyst, "__before": F.last(analyst, True).over(order.rowsBetween(Window.unboundedPreceding, -1))})
     rows = rows.withColumn("__new", (F.col("__a").isNotNull() & ~F.col("__a").eqNullSafe(F.col("__before"))).cast("int"))
     rows = rows.withColumn("__no", F.sum("__new").over(upto))
-    # a moderator takes the number of the next turn that is none
-    later = order.rowsBetween(1, Window.unboundedFollowing)
-    following = F.first(F.when(F.col("role") != "moderator", F.col("__no")), True).over(later)
+    # a moderator takes the number of the next turn that is none; read backwards, so that the frame only grows
+    later = Window.partitionBy("doc").orderBy(F.col("turn_no").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.last(F.when(F.col("role") != "moderator", F.col("__no")), True).over(later)
     number = F.when(F.col("role") == "moderator", F.coalesce(following, F.col("__no"))).otherwise(F.col("__no"))
     return rows.withColumn("session", F.when(number > 0, number)).drop("__a", "__before", "__new", "__no")
 
@@ -163,31 +166,20 @@ def chunk_turns(turns: DataFrame, limit: int = OPENING_WORDS) -> DataFrame:
     """
     parts = sessions(turns)
 
-    def pack(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("turn_no")
-        number, words, group, waiting, out = 0, 0, [], [], {}
-        for turn, role, n in zip(g["turn_no"], g["role"], g["words"]):
-            if role == "moderator":
-                waiting.append((turn, n))
-                continue
-            for t, k in [*waiting, (turn, n)]:
-                if group and words + k > limit:
-                    group, words = [], 0
-                if not group:
-                    number += 1
-                group.append(t)
-                words += k
-                out[t] = number
-            waiting = []
-        if number:
-            out |= {t: number for t, _ in waiting}
-        rows = [(g["doc"].iloc[0], t, out.get(t)) for t in g["turn_no"]]
-        return pd.DataFrame(rows, columns=["doc", "turn_no", "opening_no"]).astype({"opening_no": "Int32"})
-
-    t = dict(parts.dtypes)
+    def pack(items: list[dict]) -> Iterator[tuple]:
+        number, words, last = 0, 0, max((i for i, x in enumerate(items) if x["role"] != "moderator"), default=-1)
+        for i, x in enumerate(items):
+            if last < 0:
+                return
+            if i <= last and (not number or words + x["words"] > limit):
+                number, words = number + 1, 0
+            words += x["words"]
+            yield x["turn_no"], number
+
     opening = parts.where("session is null").select("doc", "turn_no", "role", F.size(F.split(F.trim("text"), r"\s+")).alias("words"))
-    packed = opening.groupBy("doc").applyInPandas(pack, f"doc {t['doc']}, turn_no {t['turn_no']}, opening_no int").withColumnRenamed("doc", "__d").withColumnRenamed("turn_no", "__n")
-    rows = parts.join(packed, (F.col("doc") == F.col("__d")) & (F.col("turn_no") == F.col("__n")), "left").drop("__d", "__n")
+    packed = fold_groups(opening, ["doc"], ["turn_no", "role", "words"], pack, {"turn_no": dict(parts.dtypes)["turn_no"], "opening_no": "int"})
+    packed = packed.withColumnRenamed("doc", "__d").withColumnRenamed("turn_no", "__n")
+    rows = merge_join(parts, packed, (F.col("doc") == F.col("__d")) & (F.col("turn_no") == F.col("__n")), "left").drop("__d", "__n")
     last = F.max("opening_no").over(Window.partitionBy("doc"))
     in_session = Window.partitionBy("doc", "session").orderBy("turn_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     asked = F.first(F.when(F.col("role") == "analyst", F.col("speaker")), True).over(in_session)

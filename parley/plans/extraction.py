@@ -79,8 +79,49 @@ def requests(texts: DataFrame, model: str, prompt: str, schema: str) -> DataFram
 
 
 def manifest(texts: DataFrame, prompt: str, schema: str) -> DataFrame:
-    """(doc, chars, prompt_sha, schema_sha) beside the requests."""
-    return texts.select("doc", F.length("text").alias("chars"), F.sha2(F.lit(prompt), 256).alias("prompt_sha"), F.sha2(F.lit(schema), 256).alias("schema_sha"))
+    """(doc, chars, prompt_sha, schema_sha, request_sha) beside the requests; request_sha is of the prompt with its text filled in."""
+    filled = F.replace(F.lit(prompt), F.lit("{transcript}"), F.coalesce("text", F.lit("")))
+    return texts.select("doc", F.length("text").alias("chars"), F.sha2(F.lit(prompt), 256).alias("prompt_sha"), F.sha2(F.lit(schema), 256).alias("schema_sha"), F.sha2(filled, 256).alias("request_sha"))
+
+
+#: Fields of a proposal of ground truth, one for each candidate of an answer.
+PROPOSAL = (
+    "candidate_id int, passage string, speaker string, page_number int, section string, metric string, metric_is_novel boolean, guidance_value string, guidance_unit string, "
+    "timeline string, horizon string, level string, track string, credibility_scorable boolean, uncertain boolean, adjudication_note string"
+)
+
+
+def answers(lines: DataFrame) -> DataFrame:
+    """(doc, state, content) of the lines (line) of a batch's output: state is done, failed or unreadable."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    text = lambda *names: StructType([StructField(n, StringType()) for n in names])
+    schema = StructType([StructField("custom_id", StringType()), StructField("error", StringType()), StructField("response", StructType([StructField("status_code", StringType()), StructField("body", text("output_text"))]))])
+    j = F.from_json("line", schema)
+    rows = lines.select(j.alias("j"))
+    fine = (F.col("j.response.status_code") == "200") & F.col("j.error").isNull()
+    state = F.when(F.col("j.custom_id").isNull(), "unreadable").when(F.coalesce(fine, F.lit(False)), "done").otherwise("failed")
+    return rows.select(F.col("j.custom_id").alias("doc"), state.alias("state"), F.when(fine, F.col("j.response.body.output_text")).alias("content"))
+
+
+def batch_status(sent: DataFrame, got: DataFrame) -> DataFrame:
+    """(doc, state) of every request sent (doc): done, failed, or waiting if it has no answer yet; of several answers the best counts."""
+    rank = F.when(F.col("state") == "done", 0).otherwise(1)
+    best = got.where("doc is not null").groupBy(F.col("doc").alias("__d")).agg(F.min_by("state", rank).alias("state"))
+    return sent.select("doc").join(best, F.col("doc").cast("string") == F.col("__d"), "left").select("doc", F.coalesce("state", F.lit("waiting")).alias("state"))
+
+
+def to_send(sent: DataFrame, done: DataFrame, force: bool = False) -> DataFrame:
+    """Documents (doc, text) still to be asked about: those with a text and, unless forced, without an answer."""
+    rows = sent.where(F.trim("text") != "")
+    return rows if force else rows.join(done.select(F.col("doc").alias("__d")), F.col("doc").cast("string") == F.col("__d"), "left_anti")
+
+
+def proposals(got: DataFrame) -> DataFrame:
+    """One row for each candidate in the answers (doc, content), with the fields of PROPOSAL; `place` is its order. Answers that are no such JSON have none."""
+    schema = f"struct<company:string, quarter:string, candidates:array<struct<{', '.join(f.strip().replace(' ', ':') for f in PROPOSAL.split(','))}>>>"
+    rows = got.where("content is not null").select("doc", F.from_json("content", schema).alias("j"))
+    return rows.select("doc", F.col("j.company").alias("company"), F.col("j.quarter").alias("quarter"), F.posexplode("j.candidates").alias("place", "c")).select("doc", "company", "quarter", "place", "c.*")
 
 
 def classify_metric(description: Column, unit: Column) -> Column:

@@ -56,3 +56,16 @@ def top_overlap(a: DataFrame, b: DataFrame, key: str, by: str, n: int) -> DataFr
     """One row: how many of the n best of two lists they share. Only ranked values count; ties go by key."""
     top = lambda t: t.where(F.col(by).isNotNull() & (F.col(by) > float("-inf"))).orderBy(F.col(by).desc(), key).limit(n).select(key)
     return top(a).intersect(top(b)).agg(F.count("*").alias("shared"))
+
+
+def top_against_median(rows: DataFrame, by: str, outcome: str, share: float = 0.05) -> DataFrame:
+    """One row: the top `share` of rows by a score against all: (companies, top, top_mean, median, hit_rate).
+
+    hit_rate: how many of the top have an outcome above the median. Rows without a score or an
+    outcome don't take part; ties at the border are all in the top.
+    """
+    known = rows.where(F.col(by).isNotNull() & F.col(outcome).isNotNull()).select(F.col(by).alias("s"), F.col(outcome).alias("o"))
+    # the border and the median are two numbers; no window over all rows
+    facts = known.agg(F.percentile("s", 1 - share).alias("border"), F.percentile("o", 0.5).alias("median"), F.count("*").alias("companies"))
+    top = known.crossJoin(F.broadcast(facts)).where("s >= border")  # facts is one row
+    return top.groupBy("companies", "median").agg(F.count("*").alias("top"), F.avg("o").alias("top_mean"), F.avg((F.col("o") > F.col("median")).cast("int")).alias("hit_rate"))

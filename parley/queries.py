@@ -212,10 +212,7 @@ def fuzzy_repeats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cap_cohort(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "company_master")
-    cap = F.col("bse_mcap_cr")
-    pre = m.where(cap.isNull() | (cap <= 5000))
-    return pre.select("scrip", F.when(cap.isNull(), "unresolved").when(cap <= 3000, "cohort").otherwise("over_cap").alias("status"), cap.alias("mcap"))
+    return dedup.cohort(table(spark, d, "company_master"), "bse_mcap_cr", 3000, 5000).select("scrip", "status", F.col("bse_mcap_cr").alias("mcap"))
 
 
 # --- joins ----------------------------------------------------------------------------------------
@@ -253,14 +250,22 @@ def chunk_pages(spark: SparkSession, d: str) -> DataFrame:
     return segment.page_of(offsets, segment.page_bounds(pages)).select("chunk_key", "offset", "page_no")
 
 
+def item_anchor_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """item_chunks, and for a passage that no chunk holds the first chunk with the first 80 characters of each part."""
+    return match.containing_chunk(*_parts_and_chunks(spark, d), 80).select("ord", "chunk_no")
+
+
 def item_chunks(spark: SparkSession, d: str) -> DataFrame:
     """The first chunk of its call that holds all parts of a passage, each part whole; case, punctuation marks and white space don't count."""
+    return match.containing_chunk(*_parts_and_chunks(spark, d)).select("ord", "chunk_no")
+
+
+def _parts_and_chunks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     r = table(spark, d, "raw_items")
     part = lambda p: text.plain_punctuation(F.regexp_replace(p, r"^[…\s]+", ""), False)
     parts = F.filter(F.transform(text.speaker_parts(F.col("passage")), part), lambda p: p != "")
     passages = r.select(F.col("call_id").alias("doc"), F.col("item_id").alias("ord"), parts.alias("parts"))
-    chunks = table(spark, d, "chunks").select(F.col("call_id").alias("doc"), F.col("chunk_key").alias("chunk_no"), text.plain_punctuation(F.col("text"), False).alias("text"))
-    return match.containing_chunk(passages, chunks).select("ord", "chunk_no")
+    return passages, table(spark, d, "chunks").select(F.col("call_id").alias("doc"), F.col("chunk_key").alias("chunk_no"), text.plain_punctuation(F.col("text"), False).alias("text"))
 
 
 def _eval_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -281,20 +286,23 @@ def two_pass_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 def precision_recall(spark: SparkSession, d: str) -> DataFrame:
-    """Scores with the one-to-one pairs of equal items: the k-th of an item on one side goes with its k-th on the other."""
     r, f = _eval_sides(spark, d)
-    key = ["doc", "metric", "timeline"]
-    nth = lambda t, name: t.select(*key, F.col("ord").alias(name), F.coalesce(F.col("mid"), F.lit(-1.0)).alias("m"), F.row_number().over(Window.partitionBy(*key, F.coalesce(F.col("mid"), F.lit(-1.0))).orderBy("ord")).alias("k"))
-    pairs = nth(r, "ref_ord").join(nth(f, "found_ord"), [*key, "m", "k"]).select("doc", "ref_ord", "found_ord")
-    s = match.precision_recall(pairs, r, f)
+    s = match.precision_recall(match.greedy_pairs(r, f), r, f)
     return s.select("doc", "reference_items", "found_items", "matched", F.round("recall", 6).alias("recall"), F.round("precision", 6).alias("precision"))
 
 
 def tag_agreement(spark: SparkSession, d: str) -> DataFrame:
     r, f = _eval_sides(spark, d)
-    first = lambda t, name: t.groupBy("doc", "metric").agg(F.min("ord").alias(name))
-    pairs = first(r, "ref_ord").join(first(f, "found_ord"), ["doc", "metric"])
-    return match.tag_agreement(pairs.drop("metric"), r, f)
+    return match.tag_agreement(match.greedy_pairs(r, f), r, f)
+
+
+def two_level_recall(spark: SparkSession, d: str) -> DataFrame:
+    r, f = _eval_sides(spark, d)
+    return match.two_level_recall(best_matches(spark, d), match.greedy_pairs(r, f), r, f)
+
+
+def recall_report(spark: SparkSession, d: str) -> DataFrame:
+    return match.recall_report(two_level_recall(spark, d))
 
 
 def best_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -339,6 +347,23 @@ def filing_quarters(spark: SparkSession, d: str) -> DataFrame:
     return scans.filing_for_quarter(table(spark, d, "filings").where("scrip is not null and news_dt is not null and attachment is not null"))
 
 
+def transcript_quarters(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "filings").withColumn("subcategory", F.lit(None).cast("string"))
+    return scans.filing_for_quarter(f.where("news_dt is not null"), transcripts=True)
+
+
+def call_years(spark: SparkSession, d: str) -> DataFrame:
+    """The fiscal year of each filing's call, from the name of its file, else from its period."""
+    f = table(spark, d, "filings")
+    named = F.when(F.col("filing_id") % 3 != 0, F.concat_ws("_", "slug", F.regexp_replace("headline", r"\s+", "_")))
+    return f.select("filing_id", cascade.call_year(named, F.col("call_period")).alias("y")).select("filing_id", "y.fy", "y.source", "y.mismatch")
+
+
+def attachment_candidates(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "filings").where("call_id is not null").select(F.col("call_id").alias("key"), "attachment", "headline", F.length("headline").alias("size"))
+    return dedup.attachment_candidates(f).select("key", "attachment", "place")
+
+
 def verdict_tally(spark: SparkSession, d: str) -> DataFrame:
     return document_verdicts(spark, d).groupBy("file_verdict").agg(F.count("*").alias("documents"))
 
@@ -513,7 +538,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     lists = f.groupBy("scrip").agg(F.array_sort(F.collect_list(F.struct("filing_id", li.alias("li")))).alias("x")).select("scrip", F.array_join(F.col("x.li"), "").alias("lis"))
     m = table(spark, d, "company_master").join(lists, "scrip", "left")
     cap = F.when(F.col("bse_mcap_cr").isNotNull(), F.concat(F.lit('Market Cap <span class="number">'), F.format_number(F.round(F.col("bse_mcap_cr"), 0), 0), F.lit("</span>"))).otherwise(F.lit(""))
-    html = F.concat(F.lit("<h1 class='a'> "), F.col("name"), F.lit(" </h1>"), cap, F.lit('<a title="Sector">Goods</a><a title="Sector">Oil &amp; Gas</a><a title="Industry">Pipes</a><h2>Concalls</h2><ul>'), F.coalesce("lis", F.lit("")), F.lit("</ul> see https://x.invalid/a.pdf, https://x.invalid/b; https://x.invalid/a.pdf."))
+    html = F.concat(F.lit("<h1 class='a'> "), F.col("name"), F.lit(" </h1>"), cap, F.concat(F.lit('<a title="Sector">Goods</a><a title="Sector">'), F.replace(F.concat_ws(" & ", "exchanges", "ticker"), F.lit("&"), F.lit("&amp;")), F.lit('</a><a title="Industry">'), F.col("name"), F.lit("</a><h2>Concalls</h2><ul>")), F.coalesce("lis", F.lit("")), F.concat(F.lit("</ul> see https://x.invalid/"), F.col("scrip"), F.lit(".pdf, https://x.invalid/"), F.coalesce("ticker", F.lit("none")), F.lit("; https://x.invalid/"), F.col("scrip"), F.lit(".pdf.")))
     return m.select(F.col("scrip").alias("key"), html.alias("html"))
 
 
@@ -609,7 +634,26 @@ def extracted_items(spark: SparkSession, d: str) -> DataFrame:
 
 def batch_requests(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
-    return extraction.manifest(t, "Read: {transcript}", "{}").select("doc", "chars", "prompt_sha", "schema_sha")
+    return extraction.manifest(t, "Read: {transcript}", "{}")
+
+
+def batch_states(spark: SparkSession, d: str) -> DataFrame:
+    """Requests for all documents, with answers for some: done, failed, or waiting."""
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "n_chars")
+    ok = F.col("n_chars") % 3 != 0
+    body = F.struct(F.when(ok, "200").otherwise("500").alias("status_code"), F.struct(F.lit("{}").alias("output_text")).alias("body"))
+    lines = t.where("n_chars % 5 <> 0").select(F.to_json(F.struct(F.col("doc").cast("string").alias("custom_id"), body.alias("response"))).alias("line"))
+    return extraction.batch_status(t, extraction.answers(lines))
+
+
+def proposals(spark: SparkSession, d: str) -> DataFrame:
+    """Answers with candidates of ground truth, written from the items of a call and read again."""
+    g = table(spark, d, "guidance_items").where("call_id is not null")
+    c = F.struct(F.col("guidance_id").cast("int").alias("candidate_id"), "passage", "metric", "guidance_value", "timeline", "credibility_scorable", F.col("guidance_unit").isNull().alias("uncertain"))
+    by = g.groupBy("call_id").agg(F.array_sort(F.collect_list(c)).alias("candidates"), F.min("company").alias("company"))
+    body = F.struct(F.lit("200").alias("status_code"), F.struct(F.to_json(F.struct("company", "candidates")).alias("output_text")).alias("body"))
+    lines = by.select(F.to_json(F.struct(F.col("call_id").cast("string").alias("custom_id"), body.alias("response"))).alias("line"))
+    return extraction.proposals(extraction.answers(lines)).select("doc", "company", "place", "candidate_id", "passage", "metric", "guidance_value", "timeline", "credibility_scorable", "uncertain")
 
 
 def metric_classes(spark: SparkSession, d: str) -> DataFrame:
@@ -648,5 +692,14 @@ def excess_returns(spark: SparkSession, d: str) -> DataFrame:
     return scores.adjusted_returns(s, market, (1, 2)).select("company", "day", F.round("excess_1", 6).alias("excess_1"), F.round("excess_2", 6).alias("excess_2"))
 
 
+def top_returns(spark: SparkSession, d: str) -> DataFrame:
+    """The companies of highest sales of a year against all, by the growth of their sales in the next."""
+    s = _series(spark, d)
+    at = lambda y: F.max(F.when(F.col("fy") == y, F.round("sales", 2)))
+    rows = s.groupBy("company").agg(at(1996).alias("sales"), at(1997).alias("next")).withColumn("growth", F.expr("try_divide(next, sales)"))
+    r = scores.top_against_median(rows, "sales", "growth")
+    return r.select("companies", "top", F.round("top_mean", 6).alias("top_mean"), F.round("median", 6).alias("median"), F.round("hit_rate", 6).alias("hit_rate"))
+
+
 _NOT_QUERIES = {"Column", "DataFrame", "SparkSession", "Window"}
 QUERIES = {k: v for k, v in list(globals().items()) if callable(v) and not k.startswith("_") and getattr(v, "__module__", "") == __name__ and k not in _NOT_QUERIES}

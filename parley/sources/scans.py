@@ -110,8 +110,13 @@ def date_windows(ranges: DataFrame, days: int = 28) -> DataFrame:
     return rows.select("*", starts).withColumn("end", F.least(F.date_add("start", days - 1), F.col("to")))
 
 
-def filing_for_quarter(filings: DataFrame, when: str = "news_dt") -> DataFrame:
-    """(scrip, quarter, fy, attachment, news_dt): the earliest filing of each scrip and reported quarter."""
+def filing_for_quarter(filings: DataFrame, when: str = "news_dt", transcripts: bool = False) -> DataFrame:
+    """(scrip, quarter, fy, attachment, news_dt): the earliest filing of each scrip and reported quarter.
+
+    transcripts: only of those whose sub-category or headline says transcript.
+    """
+    if transcripts:
+        filings = transcript_filings(filings, True)
     q = fiscal.reported_quarter(F.col(when).cast("date"))
     rows = filings.withColumns({"quarter": q["quarter"], "fy": q["fy"]})
     return rows.groupBy("scrip", "quarter", "fy").agg(F.min_by("attachment", F.struct(when, "attachment")).alias("attachment"), F.min(when).alias(when))

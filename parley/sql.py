@@ -218,7 +218,8 @@ def _normal(id_: str, day: str, raw: str, src: str) -> str:
 
 _CHECKED = rf"""
     calls as (select call_id, min(call_date) as call_date from filings group by call_id),
-    said as (select call_id, arg_min(text, chunk_key) as transcript from chunks group by call_id),
+    once as (select call_id, chunk_id, arg_min(struct_pack(s := char_start, t := text), chunk_key) as c from chunks group by all),
+    said as (select call_id, string_agg(c.t, chr(10) order by c.s nulls first, chunk_id) as transcript from once group by call_id),
     src as (
         select g.guidance_id as ord, g.call_id as doc, g.metric, g.guidance_value as value, g.guidance_unit as unit, g.timeline, g.passage, g.page_number as page, c.call_date, s.transcript, trim(g.guidance_value) as v
         from guidance_items g join calls c using (call_id) left join said s using (call_id)
@@ -232,6 +233,18 @@ _CHECKED = rf"""
         from ck0
     )"""
 
+_SQUEEZED = lambda c: rf"regexp_replace(lower(replace(translate({c}, '‘’“”–—' || chr(160), '''''""-- '), '…', '...')), '\s+', '', 'g')"
+_HELD = rf"""
+    with p as (
+        select item_id as ord, call_id, list_filter(list_transform(list_filter(list_transform(string_split_regex(passage, '(?:^|\n)\s*[A-Z][A-Za-z.]*(?: [A-Z][A-Za-z.]*){{0,3}}\s*:\s*'), lambda x: trim(x)), lambda x: x <> ''),
+            lambda x: {_SQUEEZED("regexp_replace(x, '^[…\s]+', '')")}), lambda x: x <> '') as parts from raw_items
+    ), c as (select call_id, chunk_key as chunk_no, {_SQUEEZED('text')} as t from chunks),
+    held as (
+        select ord, chunk_no, coalesce(len(parts) > 0 and list_bool_and(list_transform(parts, lambda x: contains(t, x))), false) as whole, coalesce(len(parts) > 0 and list_bool_and(list_transform(parts, lambda x: contains(t, x[1:80]))), false) as near
+        from p left join c using (call_id)
+    )
+"""
+
 _EVAL = rf"""
     ev as (
         select call_id as doc, guidance_id as ord, metric, coalesce(timeline, '') as timeline, replace(trim(guidance_value), '–', '-') as v, horizon, level, track, credibility_scorable from guidance_items where call_id is not null
@@ -239,6 +252,19 @@ _EVAL = rf"""
         select *, coalesce((try_cast(nullif(regexp_extract(v, '^({_NUM})\s*-\s*({_NUM})$', 1), '') as double) + try_cast(nullif(regexp_extract(v, '^({_NUM})\s*-\s*({_NUM})$', 2), '') as double)) / 2, case when regexp_matches(v, '^[+-]?(\d+\.?\d*|\.\d+)$') then try_cast(v as double) end) as mid from ev
     )"""
 
+_GREEDY = rf"""
+    {_EVAL}, ca as (
+        select r.doc, r.metric, r.timeline, r.ord as ref_ord, list(f.ord order by f.ord) as fs from em r join em f on r.doc = f.doc and r.metric is not distinct from f.metric and r.timeline = f.timeline and r.ord % 2 = 0 and f.ord % 2 = 1
+        where r.mid is null and f.mid is null or r.mid = 0 and f.mid = 0 or r.mid <> 0 and abs(r.mid - f.mid) / r.mid <= 0.10 group by all
+    ), cn as (select *, row_number() over (partition by doc, metric, timeline order by ref_ord) as k from ca),
+    gr as (
+        select doc, metric, timeline, 0::bigint as k, []::bigint[] as used, null::bigint as ref_ord, null::bigint as found_ord from (select distinct doc, metric, timeline from cn)
+        union all
+        select doc, metric, timeline, k, case when f is null then used else list_append(used, f) end, ref_ord, f
+        from (select n.doc, n.metric, n.timeline, n.k, g.used, n.ref_ord, list_filter(n.fs, lambda x: not list_contains(g.used, x))[1] as f from gr g join cn n on g.doc = n.doc and g.metric is not distinct from n.metric and g.timeline = n.timeline and n.k = g.k + 1)
+    ), gp as (select doc, ref_ord, found_ord from gr where found_ord is not null)
+"""
+
 _PAGES = r"""
     lis as (
         select scrip, string_agg('<li class="flex flex-gap-8 x"><div> ' || strftime(call_date, '%b %Y') || ' </div>' || case when attachment is not null then '<a href="https://files.invalid/' || attachment || '"> Transcript </a>' else '<div>Transcript</div>' end || '</li>', '' order by filing_id) as lis
@@ -430,28 +456,77 @@ SQL: dict[str, str] = {
         f as (select *, lower(concat_ws(' ', regexp_replace(headline, 'transcript', 'document', 'gi'), headline)) as t from filings where attachment is not null and scrip not in (select scrip from known))
         select scrip, news_dt, attachment from f where regexp_matches(t, 'transcript|con\s*call|earnings call|analyst meet') qualify row_number() over (partition by scrip order by news_dt nulls last, attachment) = 1
     """,
-    "item_chunks": r"""
-        select item_id as ord, (select min(chunk_key) from chunks c where c.call_id = r.call_id and contains(c.text, string_split(r.passage, '. ')[1])) as chunk_no from raw_items r
-    """,
+    "item_chunks": rf"{_HELD} select ord, min(chunk_no) filter (whole) as chunk_no from held group by ord",
+    "item_anchor_chunks": rf"{_HELD} select ord, coalesce(min(chunk_no) filter (whole), min(chunk_no) filter (near)) as chunk_no from held group by ord",
     "chunk_pages": r"""
         with c as (select * from chunks where char_start is not null and page_start is not null), p as (select call_id, page_start as page_no, max(length(text)) as n from c group by all),
         b as (select *, coalesce(sum(n + 1) over (partition by call_id order by page_no rows between unbounded preceding and 1 preceding), 0) as s from p)
         select chunk_key, char_start::bigint as "offset", coalesce((select max(page_no) from b where b.call_id = c.call_id and c.char_start >= s and c.char_start < s + n), (select max(page_no) from b where b.call_id = c.call_id)) as page_no from c
     """,
+    "greedy_match": rf"with recursive {_GREEDY} select doc, ref_ord, found_ord from gp",
     "precision_recall": rf"""
-        with {_EVAL}, k as (select *, coalesce(mid, -1) as m, row_number() over (partition by doc, metric, timeline, coalesce(mid, -1), ord % 2 order by ord) as k from em),
-        pairs as (select r.doc, count(*) as matched from k r join k f on r.doc = f.doc and r.metric is not distinct from f.metric and r.timeline = f.timeline and r.m = f.m and r.k = f.k where r.ord % 2 = 0 and f.ord % 2 = 1 and r.metric is not null group by r.doc),
-        n as (select doc, count_if(ord % 2 = 0)::bigint as reference_items, count_if(ord % 2 = 1)::bigint as found_items from em group by doc)
-        select doc, reference_items, found_items, coalesce(matched, 0) as matched, coalesce(round(matched / nullif(reference_items, 0), 6), 0) as recall, coalesce(round(matched / nullif(found_items, 0), 6), 0) as precision from n left join pairs using (doc)
+        with recursive {_GREEDY}, m as (select doc, count(*) as matched from gp group by doc), n as (select doc, count_if(ord % 2 = 0)::bigint as reference_items, count_if(ord % 2 = 1)::bigint as found_items from em group by doc)
+        select doc, reference_items, found_items, coalesce(matched, 0) as matched, coalesce(round(matched / nullif(reference_items, 0), 6), 0) as recall, coalesce(round(matched / nullif(found_items, 0), 6), 0) as precision from n left join m using (doc)
     """,
     "tag_agreement": rf"""
-        with {_EVAL}, r as (select doc, metric, arg_min(em, ord) as x from em where ord % 2 = 0 group by all), f as (select doc, metric, arg_min(em, ord) as y from em where ord % 2 = 1 group by all),
-        p as (select x, y from r join f on r.doc = f.doc and r.metric = f.metric),
+        with recursive {_GREEDY}, p as (select x, y from gp join em x on x.doc = gp.doc and x.ord = ref_ord join em y on y.doc = gp.doc and y.ord = found_ord),
         l as (
             select 'metric' as tag, trim(x.metric) is not distinct from trim(y.metric) as same from p union all select 'horizon', trim(x.horizon) is not distinct from trim(y.horizon) from p union all select 'level', trim(x.level) is not distinct from trim(y.level) from p
             union all select 'track', trim(x.track) is not distinct from trim(y.track) from p union all select 'credibility_scorable', x.credibility_scorable is not distinct from y.credibility_scorable from p)
         select tag, count_if(same)::bigint as agree, count(*) as total from l group by tag
     """,
+    "transcript_quarters": r"""
+        with f as (select *, case when month(news_dt) between 4 and 6 then 'Q4' when month(news_dt) between 7 and 9 then 'Q1' when month(news_dt) >= 10 then 'Q2' else 'Q3' end as quarter, (case when month(news_dt) >= 7 then year(news_dt) + 1 else year(news_dt) end)::int as fy from filings
+            where news_dt is not null and trim(coalesce(attachment, '')) <> '' and trim(coalesce(scrip, '')) <> '' and contains(lower(coalesce(headline, '')), 'transcript'))
+        select scrip, quarter, fy, attachment, news_dt from f qualify row_number() over (partition by scrip, quarter, fy order by news_dt, attachment) = 1
+    """,
+    "call_years": r"""
+        with n as (select filing_id, case when filing_id % 3 <> 0 then concat_ws('_', slug, regexp_replace(headline, '\s+', '_', 'g')) end as named, call_period from filings),
+        y as (select *, try_cast(nullif(regexp_extract(named, 'FY\s*(\d{2,4})', 1, 'i'), '') as int) as a, try_cast(nullif(regexp_extract(call_period, 'FY\s*(\d{2,4})', 1, 'i'), '') as int) as b from n),
+        z as (select *, case when a > 100 then a else a + 2000 end as x, case when b > 100 then b else b + 2000 end as w from y)
+        select filing_id, coalesce(x, w, 2026)::int as fy, case when x is not null then 'file' when w is not null then 'header' else 'default' end as source, coalesce(x <> w, false) as mismatch from z
+    """,
+    "attachment_candidates": r"""
+        with f as (select call_id as key, attachment, lower(coalesce(headline, '')) as h, coalesce(length(headline), 0) as size from filings where call_id is not null and attachment is not null),
+        g as (select *, contains(h, 'transcript') as says, not (contains(h, 'audio') or contains(h, 'recording')) as written from f),
+        o as (select * from g qualify row_number() over (partition by key, attachment order by says desc, written desc, size desc) = 1)
+        select key, attachment, row_number() over (partition by key order by says desc, written desc, size desc, attachment)::int as place from o
+    """,
+    "batch_states": "select doc_id as doc, case when n_chars % 5 = 0 or n_chars is null then 'waiting' when n_chars % 3 <> 0 then 'done' else 'failed' end as state from documents",
+    "proposals": r"""
+        with g as (select *, min(company) over (partition by call_id) as c, row_number() over (partition by call_id order by guidance_id) - 1 as n from guidance_items where call_id is not null)
+        select call_id::varchar as doc, c as company, n::int as place, guidance_id::int as candidate_id, passage, metric, guidance_value, timeline, credibility_scorable, guidance_unit is null as uncertain from g
+    """,
+    "top_returns": rf"""
+        with {_SERIES}, s as (select company, max(round(sales, 2)) filter (fy = 1996) as sales, max(round(sales, 2)) filter (fy = 1997) as nxt from series0 group by company), k as (select sales as s, nxt / nullif(sales, 0) as o from s where sales is not null and nxt / nullif(sales, 0) is not null),
+        f as (select quantile_cont(s, 0.95) as border, quantile_cont(o, 0.5) as median, count(*) as companies from k)
+        select companies, count(*) as top, round(avg(o), 6) as top_mean, round(median, 6) as median, round(avg((o > median)::int), 6) as hit_rate from k, f where s >= border group by companies, median
+    """,
+    "passage_divergence": r"""
+        with once as (select call_id, chunk_id, arg_min(text, chunk_key) as text from chunks group by all),
+        j as (select item_id, list_filter(string_split_regex(coalesce(passage, ''), '\s+'), lambda w: w <> '') as a, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '') as b from raw_items left join once using (call_id, chunk_id)),
+        k as (select *, list_transform(a, lambda w: lower(replace(translate(w, '‘’“”–—', '''''""--'), '…', '...'))) as ka, list_transform(b, lambda w: lower(replace(translate(w, '‘’“”–—', '''''""--'), '…', '...'))) as kb from j),
+        s as (select *, case when len(ka) > 0 then list_filter(range(1, len(kb) + 1), lambda i: kb[i] = ka[1] and kb[i:i + least(len(ka), 5) - 1] = ka[1:5])[1] end as start from k),
+        d as (select *, case when start is null then -1 else coalesce(list_filter(range(0, len(ka)), lambda i: start + i > len(kb) or kb[start + i] <> ka[i + 1])[1], len(ka)) end::int as n from s)
+        select item_id, n as "at", array_to_string(case when n < 0 then a[1:15] else a[n + 1:n + 15] end, ' ') as expected, case when n < 0 then '' else array_to_string(b[start + n:start + n + 14], ' ') end as found from d
+    """,
+    "session_chunks": rf"""
+        with recursive {_TURNS}, ty as (select *, case when number > 0 then number end as session, len(string_split_regex(trim(text), '\s+')) as words from tx),
+        op as (select doc, turn_no, role, words, row_number() over (partition by doc order by turn_no) as k, max(case when role <> 'moderator' then turn_no end) over (partition by doc) as last from ty where session is null),
+        pk as (
+            select doc, 0::bigint as k, 0 as no, 0::bigint as filled, null::integer as turn_no from (select distinct doc from op where last is not null)
+            union all
+            select o.doc, o.k, case when o.turn_no <= o.last and (p.no = 0 or p.filled + o.words > 600) then p.no + 1 else p.no end, case when o.turn_no <= o.last and (p.no = 0 or p.filled + o.words > 600) then o.words else p.filled + o.words end, o.turn_no
+            from pk p join op o on o.doc = p.doc and o.k = p.k + 1
+        ), nu as (select doc, max(no) as most from pk group by doc),
+        al as (
+            select y.doc, y.turn_no, y.speaker, y.role, y.text, case when y.session is null then p.no else coalesce(n.most, 0) + y.session end as chunk_no, y.session from ty y left join pk p on p.doc = y.doc and p.turn_no = y.turn_no left join nu n on n.doc = y.doc
+        )
+        select doc, chunk_no::bigint as chunk_no, case when max(session) is not null then 'qa_session' else 'opening_remarks' end as chunk_type, coalesce(arg_min(speaker, turn_no) filter (role = 'management'), arg_min(speaker, turn_no)) as speaker,
+            case when max(session) is not null then arg_min(speaker, turn_no) filter (role = 'analyst') end as analyst_speaker, string_agg(upper(role[1]) || role[2:] || ' (' || speaker || '): ' || text, chr(10) || chr(10) order by turn_no) as text,
+            len(string_split_regex(trim(string_agg(upper(role[1]) || role[2:] || ' (' || speaker || '): ' || text, chr(10) || chr(10) order by turn_no)), '\s+'))::int as word_count, count(*)::int as n_turns
+        from al where chunk_no is not null group by doc, chunk_no
+    """,
     "run_delta": "select *, abs(n0 - n1) as delta from (select call_id, chunk_id, count_if(run_index = 0)::bigint as n0, count_if(run_index = 1)::bigint as n1 from raw_items group by all)",
     "arm_scores": r"""
         with b as (select prompt_version, scrip, count_if(credibility_scorable) / count(*) as share from guidance_items group by all) select prompt_version, count(*) as companies, round(avg(share), 6) as mean_share, count_if(share >= 0.70)::bigint as clear from b group by prompt_version
@@ -557,13 +632,13 @@ SQL: dict[str, str] = {
         with r as (select scrip, min(call_date) as a, max(call_date) as b from filings where scrip is not null and call_date is not null group by scrip), w as (select scrip, b, unnest(range(a::timestamp, b::timestamp + interval 1 day, interval 28 day))::date as start from r)
         select scrip, start, least(start + 27, b)::date as "end" from w
     """,
-    "page_scrape": r"""select scrip as key, round(bse_mcap_cr, 0) as mcap, trim(name) as name, 'Oil & Gas' as sector, 'Pipes' as industry from company_master""",
-    "page_links": r"select scrip as doc, i::int as ord, ['https://x.invalid/a.pdf', 'https://x.invalid/b'][i + 1] as url from company_master, range(2) r(i)",
+    "page_scrape": r"""select scrip as key, round(bse_mcap_cr, 0) as mcap, trim(name) as name, concat_ws(' & ', exchanges, ticker) as sector, name as industry from company_master""",
+    "page_links": r"select scrip as doc, i::int as ord, ['https://x.invalid/' || scrip || '.pdf', 'https://x.invalid/' || coalesce(ticker, 'none')][i + 1] as url from company_master, range(2) r(i)",
     "page_calls": rf"with {_ORDERED_CALLS} select key, ord, date, fy, quarter, transcript_url from cl",
     "call_picks": rf"with {_ORDERED_CALLS} select key, fy, quarter, transcript_url from cl qualify row_number() over (partition by key, fy, quarter order by transcript_url is null, ord) = 1",
     "ground_truth_blocks": r"select guidance_id::int as id, metric, nullif(nullif(trim(guidance_value), ''), 'null') as guidance_value from guidance_items where passage is not null and metric is not null",
     "turn_sessions": rf"with {_TURNS} select doc, turn_no, case when number > 0 then number end as session from tx",
-    "batch_requests": r"select doc_id as doc, length(text)::int as chars, sha256('Read: {transcript}') as prompt_sha, sha256('{}') as schema_sha from documents",
+    "batch_requests": r"select doc_id as doc, length(text)::int as chars, sha256('Read: {transcript}') as prompt_sha, sha256('{}') as schema_sha, sha256('Read: ' || coalesce(text, '')) as request_sha from documents",
     "top_overlap": rf"""
         with {_SERIES}, a as (select company from series0 where fy = 1999 order by round(sales, 2) desc, company limit 200), b as (select company from series0 where fy = 2000 order by round(sales, 2) desc, company limit 200) select count(*) as shared from a join b using (company)
     """,
