@@ -1,7 +1,8 @@
 """Validation of extracted items: rules one after the other, a log of what was rejected, and two passes against repeats.
 
 Items: doc, ord, chunk_id, metric, value, unit, timeline, passage, page, call_date
-(and transcript, if passages are to be looked up in it).
+(and, if passages are to be looked up, transcript, or better plain_transcript, in which
+white space was collapsed once for the document and not for each item).
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ def apply_rules(items: DataFrame) -> DataFrame:
     rows = rows.withColumn("rule", F.when(~event & F.col("value").isNull(), "rule1").when(F.col("value").isNotNull() & F.col("__clean").isNull(), "rule2").when(F.col("__end") < F.col("__start"), "rule3"))
     past = F.concat(F.lit("past_timeline: "), F.col("clean_timeline"), F.lit(" ended "), F.col("__end").cast("string"), F.lit(" before "), F.col("__start").cast("string"))
     reason = F.when(F.col("rule") == "rule1", "null_value_non_binary_metric").when(F.col("rule") == "rule2", "malformed_guidance_value").when(F.col("rule") == "rule3", past)
-    told = F.col("transcript") if "transcript" in items.columns else F.lit(None).cast("string")
-    verbatim = F.when(F.coalesce(F.trim(told), F.lit("")) != "", F.contains(collapse(told), collapse(F.col("passage"))))
+    told = F.col("plain_transcript") if "plain_transcript" in items.columns else collapse(F.col("transcript")) if "transcript" in items.columns else F.lit(None).cast("string")
+    verbatim = F.when(F.coalesce(told, F.lit("")) != "", F.contains(told, collapse(F.col("passage"))))
     return rows.withColumns({"reason": reason, "clean_value": F.when(~event, F.col("__clean")), "found_verbatim": verbatim}).drop("__clean", "__start", "__end")
 
 

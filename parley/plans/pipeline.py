@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import segment, validate, values
+from ..operators.text import collapse
 from .extraction import Extractor, classify_metric, extract, merged, rule_extractor
 from .scores import counted
 
@@ -44,7 +45,7 @@ def staged(pages: DataFrame, calls: DataFrame, extractor: Extractor = rule_extra
         "doc", (F.col("chunk_no") * 1_000_000 + F.col("ord")).alias("ord"), F.format_string("chunk_%03d", "chunk_no").alias("chunk_id"), classify_metric(F.col("metric_description"), F.col("guidance_unit")).alias("metric"),
         F.col("guidance_value").alias("value"), F.col("guidance_unit").alias("unit"), "timeline", "passage", F.lit(None).cast("int").alias("page"),
     )
-    said = segment.clean_pages(pages, 1).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("p")).select("doc", F.array_join("p.text", "\n").alias("transcript"))
+    said = segment.clean_pages(pages, 1).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("p")).select("doc", collapse(F.array_join("p.text", "\n")).alias("plain_transcript"))
     checked = validate.apply_rules(items.join(calls.select("doc", "call_date"), "doc").join(said, "doc", "left"))
     once = validate.exact_repeats(checked)
     kept = validate.fuzzy_repeats(once).select(F.col("doc").alias("__d"), F.col("kept_as").alias("__o")).distinct()

@@ -195,7 +195,7 @@ def _checked(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d).withColumns({"doc": F.col("call_id"), "chunk_id": F.lit("chunk")})
     calls = table(spark, d, "filings").groupBy("call_id").agg(F.min("call_date").alias("call_date"))
     chunks = _chunks_once(spark, d, "char_start").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("char_start", "chunk_id", "text"))).alias("c"))
-    said = chunks.select("call_id", F.array_join("c.text", "\n").alias("transcript"))
+    said = chunks.select("call_id", text.collapse(F.array_join("c.text", "\n")).alias("plain_transcript"))
     return validate.apply_rules(items.join(calls, "call_id").join(said, "call_id", "left"))
 
 
@@ -508,7 +508,7 @@ def filled_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def union_of_runs(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "raw_items").select(F.concat_ws("/", F.col("call_id").cast("string"), "chunk_id").alias("chunk"), F.col("run_index").alias("run"), F.col("item_id").alias("ord"), "passage")
+    r = table(spark, d, "raw_items").select(F.coalesce(F.concat(F.col("call_id").cast("string"), F.lit("/"), F.col("chunk_id")), F.concat(F.lit("item "), F.col("item_id").cast("string"))).alias("chunk"), F.col("run_index").alias("run"), F.col("item_id").alias("ord"), "passage")
     return match.union_runs(r)
 
 

@@ -233,11 +233,12 @@ _CHECKED = rf"""
         from ck0
     )"""
 
-_SQUEEZED = lambda c: rf"regexp_replace(lower(replace(translate({c}, '‘’“”–—' || chr(160), '''''""-- '), '…', '...')), '\s+', '', 'g')"
+_QUOTES = "‘’“”–—' || chr(160), '''''\"\"-- "  # inside a quoted text of SQL
+_SQUEEZED = lambda c: rf"regexp_replace(lower(replace(translate({c}, '{_QUOTES}'), '…', '...')), '\s+', '', 'g')"
 _HELD = rf"""
     with p as (
         select item_id as ord, call_id, list_filter(list_transform(list_filter(list_transform(string_split_regex(passage, '(?:^|\n)\s*[A-Z][A-Za-z.]*(?: [A-Z][A-Za-z.]*){{0,3}}\s*:\s*'), lambda x: trim(x)), lambda x: x <> ''),
-            lambda x: {_SQUEEZED("regexp_replace(x, '^[…\s]+', '')")}), lambda x: x <> '') as parts from raw_items
+            lambda x: {_SQUEEZED(r"regexp_replace(x, '^[…\s]+', '')")}), lambda x: x <> '') as parts from raw_items
     ), c as (select call_id, chunk_key as chunk_no, {_SQUEEZED('text')} as t from chunks),
     held as (
         select ord, chunk_no, coalesce(len(parts) > 0 and list_bool_and(list_transform(parts, lambda x: contains(t, x))), false) as whole, coalesce(len(parts) > 0 and list_bool_and(list_transform(parts, lambda x: contains(t, x[1:80]))), false) as near
