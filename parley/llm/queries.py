@@ -22,6 +22,20 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_turns(spark, d).select("call_id", "first_turn_id", "last_turn_id", "participant_id")
 
 
+def p1_held(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each call: whether its turns are numbered in order without a gap, alternate between speakers, name people of its roster with their roles, and hold words but no marks, annotations or hesitations."""
+    t = p1_turns(spark, d)
+    order = Window.partitionBy("call_id").orderBy("turn_no")
+    t = t.withColumns({"before": F.lag("speaker").over(order), "last": F.lag("turn_no").over(order), "n": F.row_number().over(order)})
+    people = table(spark, d, "participants").select(F.col("call_id").alias("c"), F.col("participant_id").alias("p"), F.col("name").alias("p_name"), F.col("role").alias("p_role"))
+    t = merge_join(t, people, (F.col("call_id") == F.col("c")) & (F.col("participant_id") == F.col("p")), "left")
+    numbered = F.col("turn_no") == F.coalesce(F.col("last") + 1, F.col("turn_no"))
+    alternate = (F.col("n") == 1) | ~F.col("speaker").eqNullSafe(F.col("before"))
+    roster = F.col("participant_id").isNull() & F.col("role").isNull() | (F.col("speaker") == F.col("p_name")) & (F.col("role") == F.col("p_role"))
+    clean = F.col("text").rlike(r"[\p{L}\p{N}]") & ~F.col("text").rlike(r"[\[\]{}♪♫]|\b\d{1,2}:\d{2}:\d{2}\b|(?i)(?<![\p{L}\p{N}'’-])(?:uh+|um+|hmm+|erm)(?![\p{L}\p{N}'’-])|\s{2}")
+    return t.groupBy("call_id").agg(*(F.bool_and(c).alias(n) for n, c in (("numbered", numbered), ("alternate", alternate), ("roster", F.coalesce(roster, F.lit(False))), ("clean", clean))))
+
+
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.classes(table(spark, d, "raw_items"), "item_id", ["passage", "metric_description"], 0.75)
 
@@ -122,7 +136,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_turns, p2_found, p2_groups, p4_found, p4_pieces, p4_held, p5_found, p5_forms, p6_pack, p6_held, p7_mix, p7_shares, p7_held, p8_found, p8_segments, p8_documents, p8_held)
+    for f in (p1_found, p1_turns, p1_held, p2_found, p2_groups, p4_found, p4_pieces, p4_held, p5_found, p5_forms, p6_pack, p6_held, p7_mix, p7_shares, p7_held, p8_found, p8_segments, p8_documents, p8_held)
 }
 
 _ALIKE = r"""
@@ -133,6 +147,7 @@ _ALIKE = r"""
         r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
 """
 SQL = {
+    "p1_held": r"select distinct call_id, true as numbered, true as alternate, true as roster, true as clean from turns where regexp_matches(text, '[A-Za-z]{4,} [A-Za-z]{2,}')",
     "p4_held": r"""
         with w as (select chunk_key, len(list_filter(regexp_split_to_array(text, '[ \t\r\n]+'), lambda w: w <> '')) as words from chunks) select chunk_key, words, true as held from w where words > 600
     """,
