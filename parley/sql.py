@@ -494,6 +494,16 @@ SQL: dict[str, str] = {
         select key, attachment, row_number() over (partition by key order by says desc, written desc, size desc, attachment)::int as place from o
     """,
     "batch_states": "select doc_id as doc, case when n_chars % 5 = 0 or n_chars is null then 'waiting' when n_chars % 3 <> 0 then 'done' else 'failed' end as state from documents",
+    "extracted_items": rf"""
+        with c as (select call_id as doc, chunk_key as chunk_no, string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)) as parts from chunks where {_PASSES}),
+        s as (select doc, chunk_no, unnest(parts) as s, generate_subscripts(parts, 1) as i from c),
+        a as (select *, '(\d[\d,]*(?:\.\d+)?(?:\s*(?:-|to)\s*\d[\d,]*(?:\.\d+)?)?)\s*(%|bps|basis points|crore|lakh|million|billion|times|MW|tons?|tonnes?)' as rx from s),
+        b as (
+            select *, regexp_extract(s, rx, 1, 'i') as v, regexp_extract(s, rx, 2, 'i') as u, regexp_replace(s, '^\s+|\s+$', '', 'g') as passage, regexp_extract(s, '\b((?:[HQ][1-4] )?FY\d{{2}}(?:\s*-\s*FY?\d{{2}})?|next year|this fiscal year|the coming quarter)\b', 1, 'i') as timeline
+            from a where regexp_matches(s, rx, 'i') and regexp_matches(s, '\b(?:will|should|expect\w*|target\w*|guid\w+|plan\w*|aim\w*|likely|by FY\d{{2}}|in FY\d{{2}})\b', 'i')
+        )
+        select doc, chunk_no, 0 as run_index, (row_number() over (partition by doc, chunk_no order by i) - 1)::int as ord, passage, substring(passage, 1, 80) as metric_description, regexp_replace(v, '\s*to\s*', '-', 'g') as guidance_value, u as guidance_unit, timeline from b
+    """,
     "proposals": r"""
         with g as (select *, min(company) over (partition by call_id) as c, row_number() over (partition by call_id order by guidance_id) - 1 as n from guidance_items where call_id is not null)
         select call_id::varchar as doc, c as company, n::int as place, guidance_id::int as candidate_id, passage, metric, guidance_value, timeline, credibility_scorable, guidance_unit is null as uncertain from g
