@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
+
 # Phrases of the candidate filter, searched as parts of the lower-case text.
 TEMPORAL = (
     "first half", "second half", "first quarter", "second quarter", "third quarter", "fourth quarter", "h1 ", "h2 ", "q1 ", "q2 ", "q3 ", "q4 ",
@@ -125,28 +127,25 @@ def passes_filter(role: Column, text: Column) -> Column:
 
 def classify_transcript(text: Column, pages: Column, sampled_pages: int = 6) -> Column:
     """OK, NOTTRANSCRIPT or NEEDS_OCR from the lower-case text of the first pages and the number of pages."""
-    t = F.coalesce(text, F.lit(""))
-    chars = F.length(F.trim(t))
-    markers = F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(f"({CALL_MARKERS})"), F.lit(1))))
-    density = chars / F.greatest(F.least(pages, F.lit(sampled_pages)), F.lit(1))
-    return (
-        F.when((pages >= 3) & (chars < NO_TEXT), "NEEDS_OCR")
-        .when(pages > MAX_PAGES, "NOTTRANSCRIPT")
-        .when(t.rlike(DIALOGUE) | (markers >= 2), "OK")
-        .when(t.rlike(STATUTORY), "NOTTRANSCRIPT")
-        .when((markers >= 1) & (density > DENSE), "OK")
-        .otherwise("NOTTRANSCRIPT")
-    )
+
+    def told(t: Column) -> Column:
+        chars = F.length(F.trim(t))
+        density = chars / F.greatest(F.least(pages, F.lit(sampled_pages)), F.lit(1))
+        markers = F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(f"({CALL_MARKERS})"), F.lit(1))))
+        by_markers = lambda n: F.when(n >= 2, "OK").when(t.rlike(STATUTORY), "NOTTRANSCRIPT").when((n >= 1) & (density > DENSE), "OK").otherwise("NOTTRANSCRIPT")
+        return F.when((pages >= 3) & (chars < NO_TEXT), "NEEDS_OCR").when(pages > MAX_PAGES, "NOTTRANSCRIPT").when(t.rlike(DIALOGUE), "OK").otherwise(let(markers, by_markers))
+
+    return let(F.coalesce(text, F.lit("")), told)
 
 
-def file_verdict(size: Column, magic: Column, pages: Column, text: Column, min_pages: int = 5) -> Column:
-    """MISSING, BADPDF, COVER? or the classifier's word on a file."""
+def file_verdict(size: Column, magic: Column, pages: Column, text: Column, min_pages: int = 5, verdict: Column | None = None) -> Column:
+    """MISSING, BADPDF, COVER? or the classifier's word on a file; verdict: that word, where it is known already."""
     return (
         F.when(F.coalesce(size, F.lit(0)) == 0, "MISSING")
         .when(F.coalesce(magic, F.lit("")) != "%PDF", "BADPDF")
         .when(F.coalesce(pages, F.lit(-1)) < 0, "BADPDF")
         .when(pages < min_pages, "COVER?")
-        .otherwise(classify_transcript(text, pages))
+        .otherwise(classify_transcript(text, pages) if verdict is None else verdict)
     )
 
 

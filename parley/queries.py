@@ -156,8 +156,9 @@ def filter_pass_rate(spark: SparkSession, d: str) -> DataFrame:
 def document_verdicts(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents")
     pages = F.ceil(F.col("n_chars") / 1800).cast("int")
-    low = F.lower("text")
-    return t.select("doc_id", pages.alias("pages"), text.classify_transcript(low, pages).alias("verdict"), text.file_verdict(F.col("n_chars"), F.when(F.col("doc_id") % 11 == 0, "<htm").otherwise("%PDF"), pages, low).alias("file_verdict"))
+    magic = F.when(F.col("doc_id") % 11 == 0, "<htm").otherwise("%PDF")
+    rows = t.select("doc_id", "n_chars", pages.alias("pages"), text.classify_transcript(F.lower("text"), pages).alias("verdict"))
+    return rows.select("doc_id", "pages", "verdict", text.file_verdict(F.col("n_chars"), magic, F.col("pages"), F.lit(None), verdict=F.col("verdict")).alias("file_verdict"))
 
 
 def stripped_pages(spark: SparkSession, d: str) -> DataFrame:
