@@ -15,8 +15,3 @@ def earliest_stream(filings: DataFrame, key: str, when: str, order: str, late: s
     rows = filings.withWatermark(when, late)
     first = F.min(F.struct(F.col(when), F.col(order))).alias("f")
     return rows.groupBy(F.col(key), F.window(when, window)).agg(first).select(key, "window", F.col(f"f.{when}").alias(when), F.col(f"f.{order}").alias(order))
-
-
-def windowed_counts(events: DataFrame, when: str, by: str, late: str = "1 hour", size: str = "1 day") -> DataFrame:
-    """Tallies of a stream by day and kind, with a watermark."""
-    return events.withWatermark(when, late).groupBy(F.window(when, size), F.col(by)).agg(F.count("*").alias("n"))
